@@ -101,7 +101,7 @@ def statistics_key(col: Column) -> Column:
 def title_case(col: Column) -> Column:
     """Upper case after every non-letter, as in title case of running text."""
     parts = F.regexp_extract_all(F.lower(col), F.lit(r"(\p{L}+|[^\p{L}]+)"), 1)
-    return F.array_join(F.transform(parts, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.expr("''"), p.substr(F.lit(2), F.length(p)))), "")
+    return F.array_join(F.transform(parts, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), p.substr(F.lit(2), F.length(p)))), "")
 
 
 def clean_surname_text(col: Column) -> Column:

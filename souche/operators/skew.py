@@ -22,16 +22,10 @@ def key_sizes(df: DataFrame, key: str) -> DataFrame:
 
 
 def heavy_keys(df: DataFrame, key: str, share: float = 0.02, least: int = 4) -> DataFrame:
-    """Keys held by at least ``share`` of all rows (null keys included) and ``least`` rows: (key, n, total).
-
-    One pass: the total is the sum of the same partial counts, so the table is read once.
-    """
+    """Keys held by at least ``share`` of all rows (null keys included) and ``least`` rows: (key, n)."""
     sizes = df.select(F.col(key).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
-    total = sizes.agg(F.sum("n").alias("total"))
-    return (
-        sizes.where("key IS NOT NULL").crossJoin(F.broadcast(total))
-        .where((F.col("n") >= least) & (F.col("n") >= share * F.col("total")))
-    )
+    total = sizes.agg(F.sum("n").alias("total")).scalar()
+    return sizes.where("key IS NOT NULL").where((F.col("n") >= least) & (F.col("n") >= share * total))
 
 
 def vote(df: DataFrame, key: str, value: str) -> DataFrame:
