@@ -52,8 +52,33 @@ def fold_py(text: str) -> str:
 _WORD = re.compile(r"[^\W_]+")
 
 
+@cache
+def _any_mark() -> re.Pattern:
+    runs: list[list[int]] = []
+    for code in sorted(_marks()):
+        if runs and runs[-1][1] == code - 1:
+            runs[-1][1] = code
+        else:
+            runs.append([code, code])
+    return re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in runs) + "]")
+
+
+def raw_words_py(text: str | None) -> list[str]:
+    """Lower-cased words that fold_py turns into the words of the text, one by one.
+
+    A letter decomposes into a letter and marks, so words can be cut first and folded after
+    (each distinct one once), unless the text holds marks of its own.
+    """
+    if not text:
+        return []
+    low = text.lower()
+    if not low.isascii() and _any_mark().search(low):
+        low = fold_py(low)
+    return _WORD.findall(low)
+
+
 def words_py(text: str | None) -> list[str]:
-    return _WORD.findall(fold_py(text)) if text else []
+    return [w if w.isascii() else fold_py(w) for w in raw_words_py(text)]
 
 
 def words(col: Column) -> Column:
