@@ -40,15 +40,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souche.functions.text import words_py
+from souche.functions.text import fold_py, raw_words_py
 from souche.session import cut
 
 SKETCH_BITS = 18
 STEP = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
-CROWD = 48
-DEPTH = 4
-REGION_ROWS = 2000
+CROWD = 800
+DEPTH = 3
+REGION_ROWS = 5000
 
 TOKENS = "genre string, text_key string, sig binary, n int, words array<bigint>, mults array<int>"
 REGIONS = "region bigint, sig binary, n int, miss int, parity binary"
@@ -64,12 +64,12 @@ def tokens(texts: DataFrame) -> DataFrame:
             out: list[list] = [[], [], [], [], [], []]
             for genre, key, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 counts: Counter[int] = Counter()
-                for word, k in Counter(words_py(body)).items():
+                for word, k in Counter(raw_words_py(body)).items():
                     h = memo.get(word)
                     if h is None:
                         if len(memo) > 200_000:
                             memo.clear()
-                        h = memo[word] = xxhash.xxh3_64_intdigest(word) - (1 << 63)
+                        h = memo[word] = xxhash.xxh3_64_intdigest(fold_py(word)) - (1 << 63)
                     counts[h] += k
                 if not counts:
                     continue
@@ -165,19 +165,19 @@ def regions(toks: DataFrame, least: float, crowd: float, depth: int) -> DataFram
     return toks.select("sig", "n", "words", "mults").mapInArrow(place, REGIONS)
 
 
-def _sweep(region, sig, n, miss, bits, least) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of rows in one region that may be similar; rows are sorted by region."""
+def _sweep(region, n, miss, bits, least) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of rows in one region that may be similar; rows are sorted by region and length."""
     left, right = [], []
     at = np.arange(len(region))
     for d in range(1, len(region)):
         at = at[at + d < len(region)]
-        at = at[region[at] == region[at + d]]
+        # lengths rise within a region: once the partner is too long, so are all after it
+        at = at[(region[at] == region[at + d]) & (n[at] >= least * n[at + d] - 1e-9)]
         if not len(at):
             break
         a, b = at, at + d
-        total = n[a] + n[b]
-        room = (1 - least) / (1 + least) * total + 1e-9
-        ok = (miss[a] + miss[b] <= room) & (np.minimum(n[a], n[b]) >= least * np.maximum(n[a], n[b]) - 1e-9)
+        room = (1 - least) / (1 + least) * (n[a] + n[b]) + 1e-9
+        ok = miss[a] + miss[b] <= room
         a, b, room = a[ok], b[ok], room[ok]
         ok = np.bitwise_count(bits[a] ^ bits[b]).sum(1) <= room
         left.append(a[ok])
@@ -198,7 +198,7 @@ def join_regions(rows: DataFrame, least: float, most: int) -> DataFrame:
             sig = table["sig"].combine_chunks()
             n, miss = table["n"].to_numpy(), table["miss"].to_numpy()
             bits = np.frombuffer(b"".join(table["parity"].to_pylist()), np.uint64).reshape(len(region), 4)
-            a, b = _sweep(region, sig, n, miss, bits, least)
+            a, b = _sweep(region, n, miss, bits, least)
             if not len(a):
                 return
             pairs = {(x, y) if x < y else (y, x) for x, y in zip(sig.take(pa.array(a)).to_pylist(), sig.take(pa.array(b)).to_pylist()) if x != y}
@@ -236,7 +236,7 @@ def join_regions(rows: DataFrame, least: float, most: int) -> DataFrame:
         if kept is not None:
             yield from emit(kept)
 
-    return rows.repartition("region").sortWithinPartitions("region").mapInArrow(join, PAIRS)
+    return rows.repartition("region").sortWithinPartitions("region", "n").mapInArrow(join, PAIRS)
 
 
 def _within(table: pa.Table, most: int, emit, onward) -> Iterator[pa.RecordBatch]:
