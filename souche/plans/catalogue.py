@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from souche.plans import groups
+from souche.plans import births, groups, links, measures, relations, sheets, texts
 
-MODULES = (groups,)
+MODULES = (groups, births, texts, relations, measures, links, sheets)
 
 
 def queries() -> dict:
