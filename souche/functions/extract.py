@@ -167,8 +167,15 @@ def candidates(col: Column, first_name: bool = False) -> Column:
         kinds = [r"(?<![\p{L}\p{N}_])(\p{Lu}[\p{L}-]+)(?![\p{L}\p{N}_])", r"[`*_\"']([\p{L}-]{2,})[`*_\"']", rf"(?<![\p{{L}}\p{{N}}_])((?:{particle})\s+\p{{Lu}}[\p{{L}}-]+(?:\s+\p{{Lu}}[\p{{L}}-]+)?)(?![\p{{L}}\p{{N}}_])"]
     found = F.concat(*(F.regexp_extract_all(col, F.lit(k), 1) for k in kinds))
     key = T.first_name_key if first_name else T.surname_key
-    pairs = F.array_distinct(F.transform(found, key))
-    return F.transform(F.filter(pairs, lambda k: k != ""), lambda k: F.element_at(F.filter(found, lambda x: key(x) == k), 1))
+
+    def pick(words: Column) -> Column:
+        def first(ks: Column) -> Column:
+            return F.transform(F.filter(F.array_distinct(ks), lambda k: k != ""), lambda k: F.element_at(words, F.array_position(ks, k).cast("int")))
+
+        return F.transform(F.array(F.transform(words, lambda x: key(x))), first)[0]
+
+    # one-element arrays bind the words and their keys, so that each is computed once a text
+    return F.transform(F.array(found), pick)[0]
 
 
 def close_names(name: Column, col: Column, first_name: bool = False) -> Column:

@@ -85,6 +85,15 @@ def words(col: Column) -> Column:
     return F.filter(F.split(fold(col), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
+def ngrams(words: Column, n: int) -> Column:
+    """Runs of n neighbouring words, joined by blanks, in linear time: shifted copies zipped together."""
+    count = F.greatest(F.size(words) - (n - 1), F.lit(0))
+    out = F.slice(words, 1, count)
+    for k in range(1, n):
+        out = F.zip_with(out, F.slice(words, k + 1, count), lambda a, b: F.concat_ws(" ", a, b))
+    return out
+
+
 def squeeze(col: Column) -> Column:
     return F.trim(F.regexp_replace(col, r"(?U)\s+", " "))
 

@@ -29,7 +29,7 @@ def consistency(df: DataFrame, group: str, label: str, least: float = 0.75) -> D
 
 def flesch_fr(col: Column) -> Column:
     """207 - 1.015 words a sentence - 73.6 vowels a word; NULL under three words."""
-    words = F.regexp_count(col, F.lit(r"(?U)\b\w+\b"))
+    words = F.regexp_count(col, F.lit(r"[\p{L}\p{N}\p{M}_]+"))
     sentences = F.greatest(F.lit(1), F.size(F.filter(F.split(col, r"[.!?]+"), lambda s: F.trim(s) != "")))
     vowels = F.regexp_count(F.lower(col), F.lit("[aeiouyàâäéèêëîïôöùûü]"))
     return F.when(words >= 3, 207 - 1.015 * (words / sentences) - 73.6 * (vowels / words))
@@ -39,13 +39,13 @@ def well_formed(col: Column) -> Column:
     return F.trim(col).rlike(r"(?s)^\p{Lu}.*[.!?]$")
 
 
-def repeated_trigrams(col: Column, least: int = 3) -> Column:
-    """Share of trigrams of lower-cased words that are distinct ones seen ``least`` times; counts by a sorted run, n log n."""
-    w = F.split(T.squeeze(F.lower(col)), " ")
-    grams = F.when(F.size(w) > 2, F.array_sort(F.transform(F.sequence(F.lit(1), F.size(w) - 2), lambda i: F.concat_ws(" ", F.element_at(w, i), F.element_at(w, i + 1), F.element_at(w, i + 2)))))
-    # in a sorted list a value seen ``least`` times starts a run whose (least - 1)th follower is equal
-    hits = F.size(F.filter(F.sequence(F.lit(1), F.size(grams)), lambda i: (i + least - 1 <= F.size(grams)) & (F.element_at(grams, i) == F.try_element_at(grams, (i + least - 1).cast("int"))) & ((i == 1) | (F.element_at(grams, i) != F.try_element_at(grams, F.when(i > 1, i - 1).otherwise(1).cast("int"))))))
-    return F.coalesce(hits / F.size(grams), F.lit(0.0))
+def repeated_trigrams(df: DataFrame, key: str, body: str, least: int = 3) -> DataFrame:
+    """(key, share): distinct trigrams of lower-cased words seen ``least`` times, over all trigrams; 0 under three words."""
+    w = F.split(T.squeeze(F.lower(F.col(body))), " ")
+    rows = df.where(F.col(body).isNotNull()).select(F.col(key).alias("k"), w.alias("w"))
+    counts = rows.select("k", F.explode_outer(T.ngrams(F.col("w"), 3)).alias("g")).groupBy("k", "g").agg(F.count("g").alias("c"))
+    per = counts.groupBy("k").agg(F.sum((F.col("c") >= least).cast("int")).alias("hit"), F.sum("c").alias("all"))
+    return per.select(F.col("k").alias(key), F.coalesce(F.try_divide(F.col("hit").cast("double"), F.col("all")), F.lit(0.0)).alias("share"))
 
 
 def type_token(words: Column) -> Column:
@@ -55,9 +55,7 @@ def type_token(words: Column) -> Column:
 def rouge_recall(pairs: DataFrame, key: str, source: str, other: str, n: int = 1) -> DataFrame:
     """(key, recall): clipped n-gram overlap over the source's n-grams."""
     def grams(col: str) -> DataFrame:
-        w = T.words(F.col(col))
-        g = F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
-        return pairs.select(key, F.explode(g).alias("gram")).groupBy(key, "gram").agg(F.count("*").alias("c"))
+        return pairs.select(key, F.explode(T.ngrams(T.words(F.col(col)), n)).alias("gram")).groupBy(key, "gram").agg(F.count("*").alias("c"))
 
     a, b = grams(source), grams(other).withColumnRenamed("c", "d")
     both = a.join(b, [key, "gram"], "left").groupBy(key).agg(F.sum("c").alias("all"), F.sum(F.least("c", F.coalesce("d", F.lit(0)))).alias("hit"))

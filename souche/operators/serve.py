@@ -162,8 +162,8 @@ def knn_probe(queries: DataFrame, corpus: DataFrame, k: int = 5, chunks: int = 1
             for i in range(batch.num_rows):
                 a, b = batch.column("qs")[i].values, batch.column("cs")[i].values
                 qi, ci = a.field("id").to_numpy(zero_copy_only=False), b.field("id").to_numpy(zero_copy_only=False)
-                x = a.field("v").values.to_numpy().reshape(len(qi), -1)
-                y = b.field("v").values.to_numpy().reshape(len(ci), -1)
+                x = a.field("v").flatten().to_numpy().reshape(len(qi), -1)
+                y = b.field("v").flatten().to_numpy().reshape(len(ci), -1)
                 s = np.round(x @ y.T, 9)
                 s[qi[:, None] == ci[None, :]] = -np.inf
                 order = np.lexsort((np.broadcast_to(ci, s.shape), -s), axis=1)[:, :k]

@@ -5,15 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souche.functions.text import fold
+from souche.functions.text import fold, ngrams
 
 
 def word_terms(df: DataFrame, key: str, body: str, bigrams: bool = True) -> DataFrame:
     """(doc, term, tf) of words of two letters or more, and their neighbours in pairs."""
     words = F.regexp_extract_all(F.lower(F.col(body)), F.lit(r"(?U)\b\w\w+\b"), 0)
     rows = df.select(F.col(key).alias("doc"), words.alias("w")).where(F.size("w") > 0)
-    pairs = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat(F.element_at("w", i), F.lit(" "), F.element_at("w", i + 1)))
-    terms = F.concat("w", F.when(F.size("w") > 1, pairs).otherwise(F.array().cast("array<string>"))) if bigrams else F.col("w")
+    terms = F.concat("w", ngrams(F.col("w"), 2)) if bigrams else F.col("w")
     return rows.select("doc", F.explode(terms).alias("term")).groupBy("doc", "term").agg(F.count("*").alias("tf"))
 
 
@@ -22,8 +21,8 @@ def char_terms(df: DataFrame, key: str, body: str, sizes: tuple[int, ...] = (2,
     rows = df.select(F.col(key).alias("doc"), fold(F.col(body)).alias("t"))
     parts = []
     for n in sizes:
-        grams = F.transform(F.sequence(F.lit(1), F.length("t") - n + 1), lambda i, n=n: F.col("t").substr(i, F.lit(n)))
-        parts.append(rows.where(F.length("t") >= n).select("doc", F.explode(grams).alias("term")))
+        starts = rows.where(F.length("t") >= n).select("doc", "t", F.explode(F.sequence(F.lit(1), F.length("t") - n + 1)).alias("i"))
+        parts.append(starts.select("doc", F.col("t").substr(F.col("i"), F.lit(n)).alias("term")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

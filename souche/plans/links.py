@@ -75,9 +75,9 @@ def _vectors(s, d, name="prenoms_vecteurs"):
 
 
 def knn_queries(s, d):
-    """Exact nearest vectors for the rows whose position is divisible by 20, against all rows."""
-    rows = _vectors(s, d)
-    return serve.knn_probe(rows.where("id % 20 = 0"), rows, 5).select("q", "c", F.round("sim", 6).alias("sim"), "rank")
+    """Exact nearest vectors for the rows whose id (read as a number) is divisible by 20, against all rows."""
+    asked = read(s, d, "prenoms_vecteurs").where("embedding IS NOT NULL AND try_cast(conv(id, 16, 10) AS BIGINT) % 20 = 0").select(F.col("pos").alias("id"), F.col("embedding").alias("v"))
+    return serve.knn_probe(asked, _vectors(s, d), 5).select("q", "c", F.round("sim", 6).alias("sim"), "rank")
 
 
 def label_centroids(s, d):
@@ -145,7 +145,7 @@ QUERIES = {
     "outside_links": lambda s, d: matching.outside_links(_first_names(s, d).select("prenom", "prenoms_lies"), "prenom", "prenoms_lies"),
     "unseen_pairs": unseen,
     "pair_cache": merged_cache,
-    "generic_texts": lambda s, d: matching.generic_texts(_first_names(s, d), "id", "texte_brut", 3),
+    "generic_texts": lambda s, d: matching.generic_texts(_first_names(s, d), "id", "texte_brut", 1),
     "blocked_radicals": lambda s, d: matching.blocked_radicals(_first_names(s, d), "prenom", 2),
     "lev_probe": lambda s, d: matching.close_to(_surnames(s, d), "nom", "daibroi"),
     "composite_score": composite,
@@ -200,7 +200,7 @@ SQL = {
     "outside_links": f"SELECT count(*) FILTER (k IN (SELECT prenom FROM prenoms_clean)) AS inside, count(*) FILTER (k NOT IN (SELECT prenom FROM prenoms_clean)) AS outside FROM (SELECT {_FK.format('raw')} AS k FROM (SELECT unnest(prenoms_lies) AS raw FROM prenoms_clean) WHERE trim(raw) <> '')",
     "unseen_pairs": f"SELECT j.* FROM {_JP.format(0.85)} j WHERE NOT EXISTS (SELECT 1 FROM {_links(8)} l WHERE l.a = j.a AND l.b = j.b)",
     "pair_cache": f"SELECT a, b FROM {_links(8)} UNION SELECT a, b FROM {_JP.format(0.9)}",
-    "generic_texts": "SELECT md5(trim(texte_brut)) AS text_key, count(DISTINCT id) AS n FROM prenoms_clean WHERE trim(texte_brut) <> '' GROUP BY 1 HAVING count(DISTINCT id) > 3",
+    "generic_texts": "SELECT md5(trim(texte_brut)) AS text_key, count(DISTINCT id) AS n FROM prenoms_clean WHERE trim(texte_brut) <> '' GROUP BY 1 HAVING count(DISTINCT id) > 1",
     "blocked_radicals": "SELECT string_split(prenom, ' ')[1] AS radical, count(DISTINCT prenom) AS n FROM prenoms_clean WHERE contains(prenom, ' ') AND length(string_split(prenom, ' ')[1]) >= 4 GROUP BY 1 HAVING count(DISTINCT prenom) >= 2",
     "lev_probe": "SELECT DISTINCT nom FROM noms_clean WHERE levenshtein(nom, 'daibroi') <= 2 AND nom <> 'daibroi' ORDER BY nom LIMIT 6",
     "composite_score": f"""WITH o AS (SELECT prenom, langue, geo FROM prenoms_clean QUALIFY row_number() OVER (PARTITION BY prenom ORDER BY id) = 1),
@@ -212,7 +212,7 @@ SQL = {
     "tfidf_cosine": f"""WITH {_TERMS}, o AS (SELECT nom, md5(origine) AS doc FROM noms_clean WHERE trim(origine) <> '' QUALIFY row_number() OVER (PARTITION BY nom ORDER BY id) = 1)
         SELECT j.a, j.b, round(coalesce((SELECT sum(p.weight * q2.weight) FROM s p JOIN s q2 ON p.term = q2.term WHERE p.doc = x.doc AND q2.doc = y.doc), 0), 9) AS cosine
         FROM (SELECT * FROM {_JW} WHERE sim >= 0.85) j JOIN o x ON x.nom = j.a JOIN o y ON y.nom = j.b""",
-    "knn_probe": f"""WITH v AS (SELECT pos, embedding AS e FROM prenoms_vecteurs WHERE embedding IS NOT NULL), s AS (SELECT a.pos AS q, b.pos AS c, round({_DOT.format('a.e', 'b.e')}, 9) AS sim FROM v a JOIN v b ON a.pos <> b.pos WHERE a.pos % 20 = 0),
+    "knn_probe": f"""WITH v AS (SELECT pos, id, embedding AS e FROM prenoms_vecteurs WHERE embedding IS NOT NULL), s AS (SELECT a.pos AS q, b.pos AS c, round({_DOT.format('a.e', 'b.e')}, 9) AS sim FROM v a JOIN v b ON a.pos <> b.pos WHERE ('0x' || a.id)::BIGINT % 20 = 0),
         r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY sim DESC, c)::INT AS rank FROM s) SELECT q, c, round(sim, 6) AS sim, rank FROM r WHERE rank <= 5""",
     "label_centroids": """WITH d AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM embeddings), m AS (SELECT label, i, avg(x) AS m FROM d GROUP BY ALL),
         c AS (SELECT label, i, m / sqrt(sum(m * m) OVER (PARTITION BY label)) AS m FROM m) SELECT vec_id, label, round(sum(x * m), 6) AS sim FROM d JOIN c USING (label, i) GROUP BY ALL""",

@@ -21,9 +21,7 @@ def _tokens(s, d):
 
 
 def bigrams(s, d):
-    rows = _tokens(s, d).where("size(w) > 1")
-    pairs = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat_ws(" ", F.element_at("w", i), F.element_at("w", i + 1)))
-    return rows.select(F.explode(pairs).alias("bigram")).groupBy("bigram").agg(F.count("*").alias("n"))
+    return _tokens(s, d).select(F.explode(T.ngrams(F.col("w"), 2)).alias("bigram")).groupBy("bigram").agg(F.count("*").alias("n"))
 
 
 def _records(s, d):
@@ -35,7 +33,10 @@ FIELDS = ["etymologie", "provenance", "histoire", "signification"]
 
 def text_quality(s, d):
     df = _records(s, d).unpivot(["id"], [f"{f}_v" for f in FIELDS], "field", "t").where("trim(t) <> ''")
-    return df.groupBy("field").agg(F.count("*").alias("n"), F.round(F.avg(metrics.flesch_fr(F.col("t"))), 6).alias("flesch"), F.round(F.avg(metrics.well_formed(F.col("t")).cast("int")), 6).alias("well_formed"), F.round(F.avg(metrics.repeated_trigrams(F.col("t"))), 6).alias("repeated"))
+    df = df.withColumn("key", F.concat_ws("|", "id", "field"))
+    repeated = metrics.repeated_trigrams(df, "key", "t")
+    rows = df.join(repeated, "key")
+    return rows.groupBy("field").agg(F.count("*").alias("n"), F.round(F.avg(metrics.flesch_fr(F.col("t"))), 6).alias("flesch"), F.round(F.avg(metrics.well_formed(F.col("t")).cast("int")), 6).alias("well_formed"), F.round(F.avg("share"), 6).alias("repeated"))
 
 
 def rouge(s, d, n=1):
@@ -71,7 +72,7 @@ QUERIES = {
     "bins": lambda s, d: metrics.binned(read(s, d, "documents").select(T.token_count(F.col("text")).alias("n")), "n", WORD_BINS, "100+"),
     "size_bins": lambda s, d: metrics.binned(read(s, d, "prenoms_grouped").where("id_groupe_total IS NOT NULL").groupBy("id_groupe_total").agg(F.count("*").alias("n")), "n", SIZE_BINS, "21+"),
     "hist10": lambda s, d: metrics.histogram10(read(s, d, "lineitem").select((F.col("l_discount") * 10).alias("x")), "x"),
-    "pivot": lambda s, d: _records(s, d).where("trim(langue) <> ''").groupBy("langue").pivot("sexe", ["fille", "garcon"]).agg(F.count("*")).na.fill(0),
+    "pivot": lambda s, d: _records(s, d).where("trim(langue) <> ''").groupBy("langue").pivot("sexe", ["fille", "garcon"]).agg(F.count(F.lit(1))).na.fill(0),
     "unpivot": unpivoted,
     "coverage": lambda s, d: metrics.coverage(_records(s, d), ["langue", "geo", "sexe", *FIELDS]),
     "extremes": lambda s, d: metrics.extremes(read(s, d, "noms_clean").where("nom IS NOT NULL"), "nom", "id"),
@@ -81,7 +82,7 @@ QUERIES = {
     "hubs": lambda s, d: read(s, d, "prenoms_clean").select("prenom", F.coalesce(F.size("prenoms_lies"), F.lit(0)).alias("links")).distinct().orderBy(F.desc("links"), "prenom").limit(20),
     "text_quality": text_quality,
     "flesch": lambda s, d: read(s, d, "documents").where("text IS NOT NULL").select("doc_id", F.round(metrics.flesch_fr(F.col("text")), 6).alias("flesch"), metrics.well_formed(F.col("text")).alias("well_formed")),
-    "trigram_rep": lambda s, d: read(s, d, "documents").where("text IS NOT NULL").select("doc_id", F.round(metrics.repeated_trigrams(F.col("text")), 9).alias("share")),
+    "trigram_rep": lambda s, d: metrics.repeated_trigrams(read(s, d, "documents"), "doc_id", "text").select("doc_id", F.round("share", 9).alias("share")),
     "rouge_recall": lambda s, d: rouge(s, d, 1),
     "rouge2_recall": lambda s, d: rouge(s, d, 2),
     "rouge_l": lambda s, d: _records(s, d).where("trim(histoire) <> '' AND trim(histoire_v) <> ''").select("id", F.round(metrics.rouge_l("histoire", "histoire_v"), 9).alias("recall")),

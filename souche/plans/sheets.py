@@ -52,7 +52,7 @@ def json_roundtrip(s, d):
     path = f"{shared_dir(s)}/souche/json-{uuid.uuid4().hex}"
     df = read(s, d, "groupes_finals").select("id_groupe_total", "lot", "noms", "langue", "geo", "texte_resume")
     files.write_json(df, path)
-    return files.json_array(s, path, "id_groupe_total int, lot int, noms array<string>, langue string, geo string, texte_resume string").select("id_groupe_total", "lot", F.size("noms").alias("n"), "langue", "geo")
+    return files.json_array(s, path, "id_groupe_total int, lot int, noms array<string>, langue string, geo string, texte_resume string", lines=True).select("id_groupe_total", "lot", F.size("noms").alias("n"), "langue", "geo")
 
 
 def json_map(s, d):
@@ -87,7 +87,7 @@ def stream_windows(s, d):
     """The events table as a stream, counted by day and kind."""
     base = f"{shared_dir(s)}/souche/stream-{uuid.uuid4().hex}"
     df = read(s, d, "events")
-    stream = s.readStream.schema(df.schema).option("pathGlobFilter", "events.parquet*").parquet(d)
+    stream = s.readStream.schema(df.schema).option("pathGlobFilter", "events.parquet*").parquet(d).withColumn("ts", F.col("ts").cast("timestamp"))
 
     def keep(batch, _):
         batch.write.mode("overwrite").parquet(f"{base}/out")

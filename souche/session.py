@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -18,6 +19,10 @@ DEFAULTS = {
 }
 
 
+#: application -> folder, only where the session names none
+_OWN: dict[str, str] = {}
+
+
 def local_session(cores: int | str = "*", partitions: int = 8, **conf: str) -> SparkSession:
     """A local session for tests and benches; on a cluster use the session that is there."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("souche")
@@ -38,11 +43,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``; our own only where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
-        folder = os.environ.get("SOUCHE_SHARED_DIR") or tempfile.mkdtemp(prefix="souche-")
-        folder = folder if "://" in folder else f"file://{folder}"
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN:
+            _OWN[app] = f"file://{tempfile.mkdtemp(prefix='souche-')}"
+            atexit.register(shutil.rmtree, _OWN[app][len("file://") :], True)
+        folder = _OWN[app]
     return folder.rstrip("/")
 
 

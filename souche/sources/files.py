@@ -18,11 +18,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
-def json_array(spark: SparkSession, path: str, schema: str, tolerant: bool = False) -> DataFrame:
-    """A file holding one JSON array of records (or JSON lines); with ``tolerant`` a missing or broken file is empty."""
+def json_array(spark: SparkSession, path: str, schema: str, tolerant: bool = False, lines: bool = False) -> DataFrame:
+    """A file holding one JSON array of records, or with ``lines`` one record a line (which is read in parallel); with ``tolerant`` a missing or broken file is empty."""
     if tolerant and not exists(spark, path):
         return spark.createDataFrame([], schema)
-    reader = spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED" if tolerant else "FAILFAST")
+    reader = spark.read.schema(schema).option("multiLine", not lines).option("mode", "DROPMALFORMED" if tolerant else "FAILFAST")
     return reader.json(path)
 
 
