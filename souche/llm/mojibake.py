@@ -268,7 +268,7 @@ def source_weights(posteriors: DataFrame, sizes: DataFrame, pooled: float = 50.0
     sums = posteriors.groupBy("source").agg(*parts)
     rows = sizes.join(sums, "source", "left").na.fill(0.0)
     whole = rows.agg(F.sum("n").alias("n"), *(F.sum(f"c{i}").alias(f"c{i}") for i in range(1, k))).first()
-    every = [(whole[f"c{i}"] + 0.01) / (whole["n"] + 1.0) for i in range(1, k)]
+    every = [((whole[f"c{i}"] or 0.0) + 0.01) / ((whole["n"] or 0) + 1.0) for i in range(1, k)]
     chains = [(F.col(f"c{i}") + pooled * every[i - 1]) / (F.col("n") + pooled) for i in range(1, k)]
     none = F.greatest(F.lit(1e-6), 1 - sum(chains[1:], chains[0]))
     return rows.select("source", F.array(none, *chains).alias("prior"))

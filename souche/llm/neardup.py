@@ -96,8 +96,8 @@ def word_sketch(toks: DataFrame) -> tuple[np.ndarray, int]:
     return sketch, toks.count()
 
 
-def region_rows(words: np.ndarray, mults: np.ndarray, n: int, sketch: np.ndarray, texts: int, least: float, crowd: float, depth: int) -> list[tuple[int, int]]:
-    """(region, misses) of one text; any partner shares a region with it."""
+def region_rows(words: np.ndarray, mults: np.ndarray, n: int, sketch: np.ndarray, texts: int, least: float, crowd: float, depth: int, genre: str = "") -> list[tuple[int, int]]:
+    """(region, misses) of one text; any partner of its genre shares a region with it."""
     df = sketch[words & (len(sketch) - 1)]
     spare = n - math.ceil(least * n - 1e-9)
     order = np.lexsort((words, df))
@@ -106,7 +106,7 @@ def region_rows(words: np.ndarray, mults: np.ndarray, n: int, sketch: np.ndarray
     for k in m:
         start.append(start[-1] + k)
     count = len(w)
-    stack = [(-1, 0, float(texts), 0, 0)]
+    stack = [(-1, xxhash.xxh3_64_intdigest(genre), float(texts), 0, 0)]
     while stack:
         at, region, size, common, level = stack.pop()
         for j in range(at + 1, count):
@@ -145,12 +145,12 @@ def regions(toks: DataFrame, least: float, crowd: float, depth: int) -> DataFram
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
-            sigs, ns = batch.column("sig").to_pylist(), batch.column("n").to_pylist()
+            sigs, ns, genres = (batch.column(c).to_pylist() for c in ("sig", "n", "genre"))
             (ends, words), (_, mults) = _lists(batch.column("words")), _lists(batch.column("mults"))
             key, miss, rows, bits = [], [], [], []
             for i, n in enumerate(ns):
                 w, m = words[ends[i] : ends[i + 1]], mults[ends[i] : ends[i + 1]]
-                found = region_rows(w, m, n, counts, texts, least, crowd, depth)
+                found = region_rows(w, m, n, counts, texts, least, crowd, depth, genres[i])
                 bits.append(parity(w, m))
                 rows += [i] * len(found)
                 for k, x in found:
@@ -162,7 +162,7 @@ def regions(toks: DataFrame, least: float, crowd: float, depth: int) -> DataFram
             for at in range(0, table.num_rows, 20_000):
                 yield table.slice(at, 20_000)
 
-    return toks.select("sig", "n", "words", "mults").mapInArrow(place, REGIONS)
+    return toks.select("genre", "sig", "n", "words", "mults").mapInArrow(place, REGIONS)
 
 
 def _sweep(region, n, miss, bits, least) -> tuple[np.ndarray, np.ndarray]:

@@ -103,7 +103,7 @@ class Index:
 
 
 def _matrix(column: pa.ListArray, dim: int) -> np.ndarray:
-    return column.values.to_numpy(zero_copy_only=False).astype(np.float32, copy=False).reshape(-1, dim) if len(column) else np.zeros((0, dim), np.float32)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float32, copy=False).reshape(-1, dim) if len(column) else np.zeros((0, dim), np.float32)
 
 
 def folded(df: DataFrame, pos: str, vector: str, k: int) -> DataFrame:
