@@ -139,7 +139,7 @@ def labelled_list(col: Column, labels: list[str]) -> Column:
         cut = F.regexp_extract(T.drop_accents(tail), rf"(?is)^(.*?)(?:{SECTION_WORDS})", 1)
         has = T.drop_accents(tail).rlike(rf"(?i){SECTION_WORDS}")
         tail = F.when(has, tail.substr(F.lit(1), F.length(cut))).otherwise(tail)
-        items = F.transform(F.split(F.regexp_replace(tail, r"\([^)]*\)", ""), "[,;]+"), lambda x: F.trim(F.lit(". \t\n"), x))
+        items = F.transform(F.split(F.regexp_replace(tail, r"\([^)]*\)", ""), "[,;]+"), lambda x: F.trim(x, F.lit(". \t\n")))
         items = F.filter(items, lambda x: (F.length(x) >= 2) & ~x.rlike(r"^\d+$"))
         ways.append(F.when(plain.rlike(pattern) & (F.size(items) > 0), items))
     return F.coalesce(*ways, F.array().cast("array<string>"))
