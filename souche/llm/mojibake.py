@@ -66,6 +66,8 @@ LOST = "characters lost"
 NAMES = ("none", *CHAINS, LOST)
 SHARES = (0.04, 0.4, 0.95)
 LOST_ODDS = math.log(1e7)
+NOTHING = math.log(1e-5)  # odds of a token under which no chain has touched it
+_SHARES = np.array(SHARES)[:, None]
 LETTERS = "éèàêâîôûçùëïüöäñóíáúìòœÀÉÈÊÔÎÇŒ«»"
 ROUNDS = 3
 PAIRS = 1 << 18
@@ -90,8 +92,10 @@ def _tables(encoding: str) -> tuple[dict[str, int], list[str]]:
 
 def _bytes(token: str, encoding: str) -> bytes | None:
     back = _tables(encoding)[0]
-    out = [back.get(c) for c in token]
-    return None if None in out else bytes(out)
+    try:
+        return bytes([back[c] for c in token])
+    except KeyError:
+        return None
 
 
 def undo(token: str, chain: str) -> list[str]:
@@ -172,16 +176,20 @@ class Model:
         best = max(ways, key=lambda w: (self.token(w), w))
         return self.token(best) - loss - self.token(token), best
 
-    def _odds(self, token: str) -> tuple[float, ...]:
-        """Per chain; minus infinity where it cannot have made the token."""
-        return (*(self.restore(token, c)[0] for c in CHAINS), LOST_ODDS if "�" in token else -math.inf)
+    def _odds(self, token: str) -> np.ndarray | None:
+        """Per share touched and chain, what the token adds to the log-odds; None if no chain can have made it."""
+        odds = np.array([*(self.restore(token, c)[0] for c in CHAINS), LOST_ODDS if "�" in token else -math.inf])
+        if odds.max() < NOTHING:
+            return None
+        touched = np.exp(np.clip(odds, -60, 60))
+        return np.log((1 - _SHARES) + _SHARES * touched)
 
     def record(self, tokens: list[str], prior: np.ndarray) -> np.ndarray:
         """Posterior of none, each chain and lost characters."""
-        odds = np.array([self.odds(t) for t in tokens])
-        touched = np.exp(np.clip(odds, -60, 60))
+        odds = [self.odds(t) for t in tokens]
+        told = [o for o in odds if o is not None]
         log = np.zeros(len(NAMES))
-        each = np.stack([np.log((1 - s) + s * touched).sum(0) for s in SHARES])
+        each = (len(odds) - len(told)) * np.log(1 - _SHARES) + (sum(told) if told else np.zeros((1, len(NAMES) - 1)))
         top = each.max(0)
         log[1:] = top + np.log(np.exp(each - top).mean(0))
         log += np.log(np.maximum(prior, 1e-12))
@@ -208,6 +216,17 @@ def tokens(documents: DataFrame, key: str, body: str, source: str) -> DataFrame:
     return rows.where(r"doc_id IS NOT NULL AND text RLIKE '[^\\x00-\\x7f]'").mapInArrow(cut_tokens, f"doc_id {dict(documents.dtypes)[key]}, source string, tokens array<string>")
 
 
+def _spend(weights: dict[str, float], sums: np.ndarray) -> None:
+    """Count the characters of weighted tokens, each distinct token once."""
+    at, much = [], []
+    for token, weight in weights.items():
+        slots = (*pair_slots(token), *char_slots(token))
+        at += slots
+        much += [weight] * len(slots)
+    np.add.at(sums, np.array(at, dtype=np.int64), much)
+    weights.clear()
+
+
 def _sums(counts: np.ndarray, schema_names: list[str], doc_type: pa.DataType) -> pa.RecordBatch:
     at = np.flatnonzero(counts)
     n = len(at)
@@ -232,7 +251,7 @@ def _round(toks: DataFrame, counts: np.ndarray | None, prior: DataFrame | None)
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(PAIRS + 0x10000)
         model = None if shared.value is None else Model(shared.value)
-        kind, seen, doc_type = {}, False, pa.int64()
+        kind, seen, doc_type, weights = {}, False, pa.int64(), {}
         for batch in batches:
             seen, doc_type = True, batch.schema.field("doc_id").type
             posts = []
@@ -250,12 +269,15 @@ def _round(toks: DataFrame, counts: np.ndarray | None, prior: DataFrame | None)
                     posts.append(post)
                     clean, weight = found, float(post[0])
                 if weight > 0.01:
-                    at = [s for t in clean for s in (*pair_slots(t), *char_slots(t))]
-                    np.add.at(sums, np.array(at, dtype=np.int64), weight)
+                    for t in clean:
+                        weights[t] = weights.get(t, 0.0) + weight
+                    if len(weights) > 100_000:
+                        _spend(weights, sums)
             if model is not None:
                 n = len(posts)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), pa.array(posts, pa.list_(pa.float64())), pa.nulls(n, pa.int32()), pa.nulls(n, pa.float64())], names=names)
         if seen:
+            _spend(weights, sums)
             yield _sums(sums, names, doc_type)
 
     return rows.mapInArrow(step, f"doc_id {dict(toks.dtypes)['doc_id']}, source string, posterior array<double>, slot int, weight double")
