@@ -34,10 +34,10 @@ from pyspark.sql import functions as F
 
 from souche.session import cut
 
-SAMPLE = 20_000
+SAMPLE = 10_000
 SUBSPACES = 48
 WORDS = 256
-PROBES = 12
+PROBES = 8
 RERANK = 40
 SLACK = 0.15
 BLOCK = 4096
