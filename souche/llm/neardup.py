@@ -55,19 +55,26 @@ REGIONS = "region bigint, sig binary, n int, miss int, parity binary"
 PAIRS = "region bigint, a binary, b binary, n int, miss int, parity binary"
 
 
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.RecordBatch]:
+    """Batches in smaller pieces, so that what a piece grows to stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def tokens(texts: DataFrame) -> DataFrame:
     """(genre, text_key, sig, n, words, mults) of (genre, text), one row per distinct text with words."""
 
     def cut_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, int] = {}
-        for batch in batches:
+        for batch in _parts(batches):
             out: list[list] = [[], [], [], [], [], []]
             for genre, key, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 counts: Counter[int] = Counter()
                 for word, k in Counter(raw_words_py(body)).items():
                     h = memo.get(word)
                     if h is None:
-                        if len(memo) > 200_000:
+                        if len(memo) > 100_000:
                             memo.clear()
                         h = memo[word] = xxhash.xxh3_64_intdigest(fold_py(word)) - (1 << 63)
                     counts[h] += k
@@ -144,7 +151,7 @@ def regions(toks: DataFrame, least: float, crowd: float, depth: int) -> DataFram
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
-        for batch in batches:
+        for batch in _parts(batches):
             sigs, ns, genres = (batch.column(c).to_pylist() for c in ("sig", "n", "genre"))
             (ends, words), (_, mults) = _lists(batch.column("words")), _lists(batch.column("mults"))
             key, miss, rows, bits = [], [], [], []
