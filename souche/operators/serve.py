@@ -174,3 +174,12 @@ def knn_probe(queries: DataFrame, corpus: DataFrame, k: int = 5, chunks: int = 1
     kind = dict(corpus.dtypes)["id"]
     best = Window.partitionBy("q").orderBy(F.desc("sim"), "c")
     return pairs.mapInArrow(multiply, f"q {kind}, c {kind}, sim double").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+
+# What a candidate's own text says of its language and place.
+CANDIDATE_LANGUAGES = [("arabe", "origine arabe"), ("grec", "origine grecque"), ("latin", "origine latine"), ("hébreu", "origine hebraique")]
+CANDIDATE_PLACES = [("france", "france"), ("allemagne", "allemagne")]
+
+
+def candidate_labels(text: Column) -> tuple[Column, Column]:
+    return X.first_label(text, CANDIDATE_LANGUAGES), X.first_label(text, CANDIDATE_PLACES)
