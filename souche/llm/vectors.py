@@ -42,6 +42,7 @@ RERANK = 40
 SLACK = 0.15
 BLOCK = 4096
 ASK = 512
+SLOTS = 32
 
 
 def kmeans(x: np.ndarray, k: int, steps: int, seed: int) -> np.ndarray:
@@ -106,24 +107,20 @@ def _matrix(column: pa.ListArray, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float32, copy=False).reshape(-1, dim) if len(column) else np.zeros((0, dim), np.float32)
 
 
-def folded(df: DataFrame, pos: str, vector: str, k: int) -> DataFrame:
-    """(key, v, members, copies): distinct vectors, key the smallest position, members the k + 1 smallest."""
+def folded(df: DataFrame, pos: str, vector: str, k: int) -> tuple[DataFrame, int]:
+    """(key, v, members) and the length: distinct vectors, key the smallest position, members the k + 1 smallest (k at least 1)."""
     base = df.select(F.col(pos).alias("pos"), F.col(vector).cast("array<float>").alias("v")).where("pos IS NOT NULL AND size(v) > 0 AND NOT exists(v, x -> x IS NULL OR isnan(x))")
     length = base.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "n").first()
     base = base.where(F.size("v") == (length.n if length else 0))
     # equal vectors have equal hashes; two hashes of 64 bits stand for the vector in the shuffle of positions
-    keyed = base.withColumn("h", F.xxhash64("v")).withColumn("h2", F.xxhash64(F.reverse("v")))
-    counts = keyed.groupBy("h", "h2").agg(F.min("pos").alias("key"), F.countDistinct("pos").alias("copies"))
-    single = counts.select("key", "copies")
-    one = keyed.join(single, keyed["pos"] == single["key"]).select("key", "v", "copies").dropDuplicates(["key"])
-    several = counts.where("copies > 1")
-    ranked = keyed.select("h", "h2", "pos").distinct().join(several, ["h", "h2"])
-    # slots by position bound what one task sorts: the k + 1 smallest of each slot, then of all
-    slot = Window.partitionBy("key", F.pmod(F.xxhash64("pos"), F.lit(32))).orderBy("pos")
-    first = ranked.withColumn("r", F.row_number().over(slot)).where(F.col("r") <= k + 1)
-    whole = Window.partitionBy("key").orderBy("pos")
-    members = first.withColumn("r", F.row_number().over(whole)).where(F.col("r") <= k + 1).groupBy("key").agg(F.array_sort(F.collect_list("pos")).alias("members"))
-    return one.join(members, "key", "left").select("key", "v", F.coalesce("members", F.array("key")).alias("members"), "copies"), (length.n if length else 0)
+    keyed = base.select("pos", F.xxhash64("v").alias("h"), F.xxhash64(F.reverse("v")).alias("h2")).distinct()
+    # the k + 1 smallest of each slot, then of all: no task meets all copies of a vector
+    slot = Window.partitionBy("h", "h2", F.pmod(F.xxhash64("pos"), F.lit(SLOTS))).orderBy("pos")
+    first = keyed.withColumn("r", F.row_number().over(slot)).where(F.col("r") <= k + 1)
+    whole = Window.partitionBy("h", "h2").orderBy("pos")
+    members = first.withColumn("r", F.row_number().over(whole)).where(F.col("r") <= k + 1).groupBy("h", "h2").agg(F.array_sort(F.collect_list("pos")).alias("members"))
+    classes = members.select(F.element_at("members", 1).alias("key"), "members")
+    return base.join(classes, F.col("pos") == F.col("key")).select("key", "v", "members").dropDuplicates(["key"]), (length.n if length else 0)
 
 
 def fit(vectors: DataFrame, n: int, sample: int = SAMPLE, subspaces: int = SUBSPACES) -> Index:
@@ -227,7 +224,7 @@ def neighbours(df: DataFrame, k: int = 5, pos: str = "pos", vector: str = "embed
         return spark.createDataFrame([], schema)
     index = fit(vectors, n, sample)
     found = exact(candidates(vectors, index, dim, probes, rerank, least, slack, block), vectors, dim)
-    own = vectors.select(F.col("key").alias("q"), F.col("key").alias("c"), F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")).alias("similarity")).join(vectors.where("copies > 1").select(F.col("key").alias("q")), "q", "left_semi")
+    own = vectors.select(F.col("key").alias("q"), F.col("key").alias("c"), F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")).alias("similarity")).join(vectors.where("size(members) > 1").select(F.col("key").alias("q")), "q", "left_semi")
     ways = cut(found.unionByName(found.select(F.col("c").alias("q"), F.col("q").alias("c"), "similarity")).unionByName(own), "ways")
     if least is not None:
         ways = ways.where(F.col("similarity") >= least)
@@ -235,20 +232,24 @@ def neighbours(df: DataFrame, k: int = 5, pos: str = "pos", vector: str = "embed
     spread = ways.join(vectors.select(F.col("key").alias("c"), "members"), "c").select("q", F.explode("members").alias("other"), "similarity")
     best = Window.partitionBy("q").orderBy(F.desc("similarity"), "other")
     lists = spread.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).select("q", "other", "similarity")
-    # back to every row: rows of equal vectors share a list of at most k + 1 entries
-    everyone = positions(df, pos, vector, vectors)
+    # back to every row: rows of equal vectors share a list of at most k + 1 entries, salted as they may be many
+    lists = cut(lists, "lists")
+    single = vectors.where("size(members) = 1").select(F.col("key").alias("q"))
+    alone = lists.join(single, "q", "left_semi").select("q", F.col("q").alias("pos"), "other", "similarity")
+    shared = lists.join(vectors.where("size(members) > 1").select(F.col("key").alias("q")), "q", "left_semi").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
+    copies = positions(df, pos, vector, vectors).withColumn("salt", F.pmod(F.xxhash64("pos"), F.lit(SLOTS)).cast("int"))
+    every = alone.unionByName(shared.join(copies, ["q", "salt"]).select("q", "pos", "other", "similarity"))
     per = Window.partitionBy("pos").orderBy(F.desc("similarity"), "other")
-    out = lists.join(everyone, "q").where("pos <> other").withColumn("rank", F.row_number().over(per)).where(F.col("rank") <= k)
+    out = every.where("pos <> other").withColumn("rank", F.row_number().over(per)).where(F.col("rank") <= k)
     return out.select("pos", "other", "similarity", "rank")
 
 
 def positions(df: DataFrame, pos: str, vector: str, vectors: DataFrame) -> DataFrame:
-    """(q, pos): every position with the key of its distinct vector."""
-    single = vectors.where("copies = 1").select(F.col("key").alias("q"), F.col("key").alias("pos"))
-    several = vectors.where("copies > 1").select(F.col("key").alias("q"), F.xxhash64("v").alias("h"), F.xxhash64(F.reverse("v")).alias("h2"))
+    """(q, pos): the positions of vectors that occur more than once, with the key of their vector."""
+    several = vectors.where("size(members) > 1").select(F.col("key").alias("q"), F.xxhash64("v").alias("h"), F.xxhash64(F.reverse("v")).alias("h2"))
     base = df.select(F.col(pos).alias("pos"), F.col(vector).cast("array<float>").alias("v")).where("pos IS NOT NULL AND size(v) > 0")
     hashed = base.select("pos", F.xxhash64("v").alias("h"), F.xxhash64(F.reverse("v")).alias("h2")).distinct()
-    return single.unionByName(hashed.join(several, ["h", "h2"]).select("q", "pos"))
+    return hashed.join(several, ["h", "h2"]).select("q", "pos")
 
 
 def similar_pairs(df: DataFrame, least: float = 0.8, k: int = 5, **kw) -> DataFrame:
