@@ -109,7 +109,7 @@ def _matrix(column: pa.ListArray, dim: int) -> np.ndarray:
 
 def folded(df: DataFrame, pos: str, vector: str, k: int) -> tuple[DataFrame, int]:
     """(key, v, members) and the length: distinct vectors, key the smallest position, members the k + 1 smallest (k at least 1)."""
-    base = df.select(F.col(pos).alias("pos"), F.col(vector).cast("array<float>").alias("v")).where("pos IS NOT NULL AND size(v) > 0 AND NOT exists(v, x -> x IS NULL OR isnan(x))")
+    base = df.select(F.col(pos).cast("bigint").alias("pos"), F.col(vector).cast("array<float>").alias("v")).where("pos IS NOT NULL AND size(v) > 0 AND NOT exists(v, x -> x IS NULL OR isnan(x))")
     length = base.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "n").first()
     base = base.where(F.size("v") == (length.n if length else 0))
     # equal vectors have equal hashes; two hashes of 64 bits stand for the vector in the shuffle of positions
@@ -247,7 +247,7 @@ def neighbours(df: DataFrame, k: int = 5, pos: str = "pos", vector: str = "embed
 def positions(df: DataFrame, pos: str, vector: str, vectors: DataFrame) -> DataFrame:
     """(q, pos): the positions of vectors that occur more than once, with the key of their vector."""
     several = vectors.where("size(members) > 1").select(F.col("key").alias("q"), F.xxhash64("v").alias("h"), F.xxhash64(F.reverse("v")).alias("h2"))
-    base = df.select(F.col(pos).alias("pos"), F.col(vector).cast("array<float>").alias("v")).where("pos IS NOT NULL AND size(v) > 0")
+    base = df.select(F.col(pos).cast("bigint").alias("pos"), F.col(vector).cast("array<float>").alias("v")).where("pos IS NOT NULL AND size(v) > 0")
     hashed = base.select("pos", F.xxhash64("v").alias("h"), F.xxhash64(F.reverse("v")).alias("h2")).distinct()
     return hashed.join(several, ["h", "h2"]).select("q", "pos")
 

@@ -94,11 +94,15 @@ def salted_pairs(rows: DataFrame, least: float, most: int) -> DataFrame:
     sizes = rows.groupBy("region").agg(F.count("*").alias("rows"))
     salts = sizes.select("region", F.ceil(F.col("rows") / most).cast("int").alias("salts"))
     placed = rows.join(salts, "region")
-    left = placed.select("region", F.pmod(F.xxhash64("sig"), "salts").cast("int").alias("salt"), *(F.col(c).alias(f"{c}_a") for c in ("sig", "n", "miss", "parity", "home")))
-    right = placed.select("region", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), *(F.col(c).alias(f"{c}_b") for c in ("sig", "n", "miss", "parity", "home")))
+    # the parity as four longs, once a row: a pair then costs four XORs
+    words = [F.conv(F.hex(F.substring("parity", 8 * i + 1, 8)), 16, -10).cast("bigint").alias(f"p{i}") for i in range(4)]
+    placed = placed.select("region", "sig", "n", "miss", "home", "salts", *words)
+    names = ("sig", "n", "miss", "home", "p0", "p1", "p2", "p3")
+    left = placed.select("region", F.pmod(F.xxhash64("sig"), "salts").cast("int").alias("salt"), *(F.col(c).alias(f"{c}_a") for c in names))
+    right = placed.select("region", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), *(F.col(c).alias(f"{c}_b") for c in names))
     room = F.lit((1 - least) / (1 + least)) * (F.col("n_a") + F.col("n_b")) + 1e-9
-    long = [F.conv(F.hex(F.substring(F.col("parity_a"), 8 * i + 1, 8)), 16, -10).cast("bigint").bitwiseXOR(F.conv(F.hex(F.substring(F.col("parity_b"), 8 * i + 1, 8)), 16, -10).cast("bigint")) for i in range(4)]
-    differ = sum((F.bit_count(x) for x in long[1:]), F.bit_count(long[0]))
+    bits = [F.bit_count(F.col(f"p{i}_a").bitwiseXOR(F.col(f"p{i}_b"))) for i in range(4)]
+    differ = sum(bits[1:], bits[0])
     return (
         left.join(right, ["region", "salt"]).where((F.col("sig_a") < F.col("sig_b")) & (F.col("home_a") | F.col("home_b")))
         .where((F.col("miss_a") + F.col("miss_b") <= room) & (F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b") - 1e-9))

@@ -46,3 +46,14 @@ def test_estimates_follow_products():
     own = np.flatnonzero(cell == 0)
     est = index.estimates(x[:200], 0, codes[own], stretch[own])
     assert np.corrcoef(est.ravel(), (x[:200] @ x[own].T).ravel())[0, 1] > 0.8
+
+
+def test_a_third_of_all_rows_are_copies(spark):
+    rng = np.random.default_rng(4)
+    hot = rng.normal(size=16)
+    rows = [(int(p), hot if p % 3 == 0 else rng.normal(size=16)) for p in rng.permutation(900)]
+    rows = [(p, (v / np.linalg.norm(v)).astype(np.float32)) for p, v in rows]
+    df = spark.createDataFrame([(p, [float(a) for a in v]) for p, v in rows], "pos bigint, embedding array<float>")
+    got = {tuple(r) for r in vectors.similar_pairs(df, 0.95, 5).collect()}
+    copies = sorted(p for p, _ in rows if p % 3 == 0)
+    assert {(a, b) for a, b in got if a % 3 == 0 and b % 3 == 0} == {(min(p, q), max(p, q)) for p in copies for q in [c for c in copies if c != p][:5]}
