@@ -159,6 +159,9 @@ SQL = {
     "top_names": f"SELECT prenom, total FROM (SELECT * FROM {_T} ORDER BY total DESC, prenom LIMIT 10) WHERE prenom IN (SELECT prenom FROM prenoms_clean)",
     "trending": f"SELECT prenom, total, pic_annee FROM (SELECT * FROM {_T} WHERE pic_annee >= 2018 ORDER BY total DESC, prenom LIMIT 10) WHERE prenom IN (SELECT prenom FROM prenoms_clean)",
     "explore_stats": "SELECT size, count(*) AS groups FROM (SELECT count(DISTINCT id) AS size FROM prenoms_grouped WHERE id_groupe_total IS NOT NULL GROUP BY id_groupe_total) GROUP BY size ORDER BY size LIMIT 15",
+    "candidate_score": """WITH v AS (SELECT pos, id, embedding::DOUBLE[] AS e FROM prenoms_vecteurs WHERE embedding IS NOT NULL), q AS (SELECT e AS q FROM v ORDER BY pos LIMIT 1),
+        s AS (SELECT id, round(list_dot_product(e, q), 6) AS sim FROM v, q WHERE id IN (SELECT id FROM prenoms_clean) ORDER BY sim DESC, id LIMIT 5)
+        SELECT id, sim, sim AS score, round_even(coalesce(2 * least(sim, 1) * sim / nullif(least(sim, 1) + sim, 0), 0), 4) AS f1, CASE WHEN sim >= 0.92 THEN 'FUSION' ELSE 'REJET' END AS decision FROM s""",
     "json_roundtrip": "SELECT id_groupe_total, lot, len(noms)::INT AS n, langue, geo FROM groupes_finals",
     "json_map": f"SELECT prenom, sum(b)::BIGINT AS total, count(*) AS years FROM (SELECT prenom, annee, sum(c) AS b FROM {_M} GROUP BY ALL) GROUP BY prenom",
     "csv_letters": "SELECT upper(prenom[1]) AS lettre, count(*) AS n, count(nullif(url, '')) AS urls FROM (SELECT DISTINCT prenom, url, sexe FROM prenoms_clean) GROUP BY 1",

@@ -104,6 +104,8 @@ def _multi(groups: dict) -> str:
 _ROMAN = "(SELECT upper(r) AS r, v FROM (VALUES " + ", ".join(f"('{r}', {v})" for v, r in enumerate([t + u for t in ("", "x", "xx", "xxx") for u in ("", "i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix")]) if r) + ") x(r, v))"
 
 SQL = {
+    "text_lengths": """SELECT doc_id, CASE WHEN t = '' THEN 0 ELSE len(string_split(t, ' '))::INT END AS tokens, length(text)::INT AS chars, trim(text) <> '' AS filled, replace(format('{:,}', n_chars), ',', ' ') AS shown, text[1:160] AS head
+        FROM (SELECT *, trim(regexp_replace(text, '[\\s\\x{a0}\\x{85}\\p{Z}]+', ' ', 'g')) AS t FROM documents WHERE text IS NOT NULL)""",
     "normalize_key": f"SELECT * FROM {_KEYS}",
     "stable_id": f"SELECT DISTINCT genre, key, substr(md5(key), 1, 8) AS stable FROM {_KEYS}",
     "display_name": """SELECT DISTINCT nom, array_to_string(list_transform(string_split(nom, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS shown,
