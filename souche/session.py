@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -21,6 +22,7 @@ DEFAULTS = {
 
 #: application -> folder, only where the session names none
 _OWN: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, **conf: str) -> SparkSession:
@@ -64,6 +66,17 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application: their Python may not find it by itself."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        _SHIPPED.add(context.applicationId)
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        folder = tempfile.mkdtemp(prefix="souche-code-")
+        atexit.register(shutil.rmtree, folder, True)
+        context.addPyFile(shutil.make_archive(f"{folder}/souche-code", "zip", root, os.path.basename(os.path.dirname(os.path.abspath(__file__)))))
+
+
 def drop_cut(df: DataFrame) -> None:
     """Delete the files of a table written by ``cut`` that nothing needs any more."""
     spark = df.sparkSession
