@@ -1,7 +1,11 @@
-"""Most similar vectors for every vector (problem 6).
+"""Most similar vectors for every vector (problem 6). Similarity is the inner product.
 
-Method: an inverted file of coarse centroids with product-quantised residuals, asymmetric
-distance tables, and exact reranking. Similarity is the inner product.
+Method: exact. Distinct vectors meet in tiles, each pair of tiles once (``knn_self``), so close vectors are
+told apart however many there are. The products grow with the square of the distinct vectors.
+
+With ``probes``, approximate: an inverted file of coarse centroids with product-quantised
+residuals, asymmetric distance tables, and exact reranking. It misses neighbours beyond the probed
+cells, and beyond the ``rerank`` best estimates where many different vectors are close together.
 
 * Fit, on a bounded sample (``sample`` vectors of smallest hash, a parameter): coarse centroids
   by k-means, then one codebook of 256 words per sub-space on the residuals. Everything else
@@ -32,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from souche.operators import serve
 from souche.session import cut
 
 SAMPLE = 10_000
@@ -210,10 +215,10 @@ def exact(pairs: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:
     return one.join(left, "q").join(right, "c").select("q", "c", "a", "b").mapInArrow(measure, "q bigint, c bigint, similarity double")
 
 
-def neighbours(df: DataFrame, k: int = 5, pos: str = "pos", vector: str = "embedding", least: float | None = None, probes: int = PROBES, rerank: int = RERANK, sample: int = SAMPLE, slack: float = SLACK, block: int = BLOCK) -> DataFrame:
+def neighbours(df: DataFrame, k: int = 5, pos: str = "pos", vector: str = "embedding", least: float | None = None, probes: int | None = None, rerank: int = RERANK, sample: int = SAMPLE, slack: float = SLACK, block: int = BLOCK) -> DataFrame:
     """(pos, other, similarity, rank): the k most similar others of every vector, ties to the smaller position.
 
-    With ``least``, only those at least that similar are wanted.
+    With ``least``, only those at least that similar are wanted. Exact, unless ``probes`` asks for the index.
     """
     spark = df.sparkSession
     schema = "pos bigint, other bigint, similarity double, rank int"
@@ -222,10 +227,14 @@ def neighbours(df: DataFrame, k: int = 5, pos: str = "pos", vector: str = "embed
     n = vectors.count()
     if not n:
         return spark.createDataFrame([], schema)
-    index = fit(vectors, n, sample)
-    found = exact(candidates(vectors, index, dim, probes, rerank, least, slack, block), vectors, dim)
+    if probes is None:
+        # k others are enough: each stands for at least one position, and is met from both sides
+        ways = serve.knn_self(vectors.select(F.col("key").alias("id"), "v"), k, least).select("q", "c", F.col("sim").alias("similarity"))
+    else:
+        found = exact(candidates(vectors, fit(vectors, n, sample), dim, probes, rerank, least, slack, block), vectors, dim)
+        ways = found.unionByName(found.select(F.col("c").alias("q"), F.col("q").alias("c"), "similarity"))
     own = vectors.select(F.col("key").alias("q"), F.col("key").alias("c"), F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")).alias("similarity")).join(vectors.where("size(members) > 1").select(F.col("key").alias("q")), "q", "left_semi")
-    ways = cut(found.unionByName(found.select(F.col("c").alias("q"), F.col("q").alias("c"), "similarity")).unionByName(own), "ways")
+    ways = cut(ways.unionByName(own), "ways")
     if least is not None:
         ways = ways.where(F.col("similarity") >= least)
     # per distinct vector: its best others, spread over their members; k + 1 as a member may meet itself

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from souche.functions import extract as X
 from souche.functions import text as T
 from souche.operators import graph, matching
+from souche.session import cut
 
 LEAST_QUERY = 2
 SHOWN, SUGGESTED, TOP = 20, 10, 10
@@ -176,6 +177,78 @@ def knn_probe(queries: DataFrame, corpus: DataFrame, k: int = 5, chunks: int = 1
     return pairs.mapInArrow(multiply, f"q {kind}, c {kind}, sim double").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
+def knn_self(rows: DataFrame, k: int = 50, least: float | None = None, tile: int = 2048) -> DataFrame:
+    """(q, c, sim, rank): the exact k nearest other rows of every row of ``rows`` (id, v), ties to the smaller id.
+
+    ``rows`` is read more than once (a table, not a long plan), its ids are unique and its vectors
+    of one length. Rows lie in tiles of about ``tile`` by hash; every two tiles meet once, as one product in
+    doubles that serves both, and only the k best of each row go on, so no task holds more than two
+    tiles. Nothing is left out, so the products grow with the square of the rows.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    def pack(batches):
+        """Vectors as bytes: half floats where those hold every value, else floats."""
+        for batch in batches:
+            lists = batch.column("v")
+            dim = len(lists[0]) if len(lists) else 1
+            x = lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, max(dim, 1))
+            with np.errstate(over="ignore"):
+                half = x.astype(np.float16)
+            fits = (half.astype(np.float32) == x).all(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([h.tobytes() if f else v.tobytes() for f, h, v in zip(fits, half, x)], pa.binary()), pa.array(np.full(len(x), dim, np.int32))], names=["id", "b", "dim"])
+
+    n = rows.count()
+    tiles = max(1, -(-n // tile))
+    kind = dict(rows.dtypes)["id"]
+    small = rows.select("id", F.col("v").cast("array<float>").alias("v")).mapInArrow(pack, f"id {kind}, b binary, dim int")
+    packed = cut(small.groupBy(F.pmod(F.xxhash64("id"), F.lit(tiles)).cast("int").alias("t")).agg(F.max("dim").alias("dim"), F.collect_list(F.struct("id", "b")).alias("rows")), "tiles")
+    last = F.lit(tiles - 1)
+    left = packed.select(F.col("t").alias("i"), "dim", F.col("rows").alias("qs")).withColumn("j", F.explode(F.sequence(F.col("i"), last)))
+    right = packed.select(F.col("t").alias("j"), F.col("rows").alias("cs")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("j"))))
+    # few pairs to a partition, as Python gets many rows of one at once
+    parts = max(1, tiles * (tiles + 1) // 4)
+    pairs = left.repartition(parts, "i", "j").join(right.repartition(parts, "i", "j").hint("merge"), ["i", "j"])
+
+    def matrix(side, dim):
+        return np.stack([np.frombuffer(v, np.float16 if len(v) == 2 * dim else np.float32).astype(float) for v in side.field("b").to_pylist()])
+
+    def best(s, qi, ci):
+        """The k best of each row of s, all that tie with the last among them judged by id."""
+        if least is not None:
+            held = np.flatnonzero((s >= least).any(axis=1))
+            s, qi = s[held], qi[held]
+        if s.shape[1] > k and len(s):
+            keep = s >= np.partition(s, s.shape[1] - k, axis=1)[:, -k][:, None]
+        else:
+            keep = np.ones(s.shape, bool)
+        keep &= np.isfinite(s) if least is None else s >= least
+        r, t = np.nonzero(keep)
+        value = s[r, t]
+        order = np.lexsort((ci[t], -value, r))
+        r, t, value = r[order], t[order], value[order]
+        few = np.arange(len(r)) - np.searchsorted(r, r) < k
+        return pa.RecordBatch.from_arrays([pa.array(qi[r[few]]), pa.array(ci[t[few]]), pa.array(value[few])], names=["q", "c", "sim"])
+
+    def multiply(batches):
+        for batch in batches:
+            for at in range(batch.num_rows):
+                a, b = batch.column("qs")[at].values, batch.column("cs")[at].values
+                qi, ci = a.field("id").to_numpy(zero_copy_only=False), b.field("id").to_numpy(zero_copy_only=False)
+                dim = batch.column("dim")[at].as_py()
+                s = np.round(matrix(a, dim) @ matrix(b, dim).T, 12)
+                if batch.column("i")[at] == batch.column("j")[at]:
+                    np.fill_diagonal(s, -np.inf)
+                    s = np.maximum(s, s.T)
+                else:
+                    yield best(s.T, ci, qi)
+                yield best(s, qi, ci)
+
+    rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("sim"), "c"))
+    return pairs.mapInArrow(multiply, f"q {kind}, c {kind}, sim double").withColumn("rank", rank).where(F.col("rank") <= k)
+
+
 # What a candidate's own text says of its language and place.
 CANDIDATE_LANGUAGES = [("arabe", "origine arabe"), ("grec", "origine grecque"), ("latin", "origine latine"), ("hébreu", "origine hebraique")]
 CANDIDATE_PLACES = [("france", "france"), ("allemagne", "allemagne")]

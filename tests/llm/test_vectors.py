@@ -3,6 +3,7 @@
 import numpy as np
 
 from souche.llm import vectors
+from souche.operators import serve
 
 
 def exact(rows, k):
@@ -57,3 +58,30 @@ def test_a_third_of_all_rows_are_copies(spark):
     got = {tuple(r) for r in vectors.similar_pairs(df, 0.95, 5).collect()}
     copies = sorted(p for p, _ in rows if p % 3 == 0)
     assert {(a, b) for a, b in got if a % 3 == 0 and b % 3 == 0} == {(min(p, q), max(p, q)) for p in copies for q in [c for c in copies if c != p][:5]}
+
+
+def test_a_third_of_all_rows_are_different_near_copies(spark):
+    rng = np.random.default_rng(5)
+    hot = rng.normal(size=48)
+    x = np.array([hot + 0.3 * rng.normal(size=48) if p % 3 == 0 else rng.normal(size=48) for p in range(1500)])
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    df = spark.createDataFrame([(p, v.tolist()) for p, v in enumerate(x)], "pos bigint, embedding array<float>")
+    sims = np.round(x.astype(float) @ x.T.astype(float), 12)
+    np.fill_diagonal(sims, -np.inf)
+    want = {p: np.lexsort((np.arange(1500), -sims[p]))[:5].tolist() for p in range(1500)}
+    got = {}
+    for r in vectors.neighbours(df, 5).orderBy("pos", "rank").collect():
+        got.setdefault(r.pos, []).append(r.other)
+    assert got == want
+    pairs = {(min(p, q), max(p, q)) for p, qs in want.items() for q in qs if sims[p, q] >= 0.8}
+    assert {tuple(r) for r in vectors.similar_pairs(df, 0.8, 5).collect()} == pairs
+
+
+def test_tiles_meet_each_other(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 8)).astype(np.float32)
+    df = spark.createDataFrame([(p, v.tolist()) for p, v in enumerate(x)], "id bigint, v array<float>")
+    sims = np.round(x.astype(float) @ x.T.astype(float), 12)
+    np.fill_diagonal(sims, -np.inf)
+    got = {(r.q, r["rank"]): r.c for r in serve.knn_self(df, 7, tile=40).collect()}
+    assert got == {(p, i + 1): int(q) for p in range(300) for i, q in enumerate(np.argsort(-sims[p])[:7])}
