@@ -71,9 +71,10 @@ def group_texts(s, d):
 
 
 def group_members(s, d):
+    """All distinct members of a group, numbered in order."""
     rows = read(s, d, "groupes_finals").select("id_groupe_total", F.explode("noms").alias("nom")).where("trim(nom) <> '' AND id_groupe_total IS NOT NULL").distinct()
     rank = F.row_number().over(Window.partitionBy("id_groupe_total").orderBy("nom"))
-    return rows.withColumn("seq", rank).where("seq <= 50")
+    return rows.withColumn("seq", rank)
 
 
 def left_enrich(s, d):

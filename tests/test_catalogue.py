@@ -42,3 +42,10 @@ def test_query_equals_sql(spark, con, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_groups_keep_all_members(spark, tmp_path):
+    names = [f"n{i:03}" for i in range(120)]
+    spark.createDataFrame([(1, 0, names[:70]), (1, 1, names[60:]), (2, 0, ["x"])], "id_groupe_total int, lot int, noms array<string>").write.parquet(f"{tmp_path}/groupes_finals.parquet")
+    got = sorted((r.seq, r.nom) for r in entry.queries()["group_members"](spark, str(tmp_path)).where("id_groupe_total = 1").collect())
+    assert got == list(enumerate(names, 1))
