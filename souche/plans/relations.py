@@ -64,10 +64,10 @@ def text_groups(s, d):
 
 
 def group_texts(s, d):
-    """Distinct texts of a group, joined in order of their first record."""
+    """All distinct texts of a group, joined in order of their first record."""
     rows = read(s, d, "prenoms_grouped").where("id_groupe_total IS NOT NULL AND trim(provenance) <> ''").groupBy("id_groupe_total", "provenance").agg(F.min("id").alias("first"))
     rank = F.row_number().over(Window.partitionBy("id_groupe_total").orderBy("first", "provenance"))
-    return rows.withColumn("r", rank).where("r <= 20").groupBy("id_groupe_total").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "provenance"))), lambda x: x["provenance"]), " --- ").alias("texte"))
+    return rows.withColumn("r", rank).groupBy("id_groupe_total").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "provenance"))), lambda x: x["provenance"]), " --- ").alias("texte"))
 
 
 def group_members(s, d):

@@ -49,3 +49,8 @@ def test_groups_keep_all_members(spark, tmp_path):
     spark.createDataFrame([(1, 0, names[:70]), (1, 1, names[60:]), (2, 0, ["x"])], "id_groupe_total int, lot int, noms array<string>").write.parquet(f"{tmp_path}/groupes_finals.parquet")
     got = sorted((r.seq, r.nom) for r in entry.queries()["group_members"](spark, str(tmp_path)).where("id_groupe_total = 1").collect())
     assert got == list(enumerate(names, 1))
+
+
+def test_groups_keep_all_texts(spark, tmp_path):
+    spark.createDataFrame([(f"{i:03}", 1, f"t{i}") for i in range(45)], "id string, id_groupe_total int, provenance string").write.parquet(f"{tmp_path}/prenoms_grouped.parquet")
+    assert [r.texte for r in entry.queries()["group_texts"](spark, str(tmp_path)).collect()] == [" --- ".join(f"t{i}" for i in range(45))]
