@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from souche.config import FirstNames, Surnames
 from souche.functions import extract as X
 from souche.functions import text as T
-from souche.operators import graph, matching, skew, tfidf
+from souche.operators import graph, matching, serve, skew, tfidf
 from souche.session import cut
 
 # Trade words without weight in notices.
@@ -80,6 +80,35 @@ def fusion_pairs(pairs: DataFrame, names: DataFrame, generic: DataFrame, radical
     return rows.where((F.col("groupe_a") != F.col("groupe_b")) & long & ~both_generic & ~blocked).select("a", "b")
 
 
+def near_first_names(names: DataFrame, vectors: DataFrame, groups: DataFrame, cfg: FirstNames = FirstNames()) -> DataFrame:
+    """(a, b, sim): ids of first names whose vectors are near, that may merge, and whose composite score passes.
+
+    ``names``: (id, prenom, texte, langue, geo), one row per name; ``vectors``: (pos, id, v), all of
+    them meet; ``groups``: (prenom, groupe).
+    """
+    names, vectors = cut(names.join(groups, "prenom"), "first_names"), cut(vectors, "name_vectors")
+    near = serve.knn_self(vectors.select(F.col("pos").alias("id"), "v"), cfg.k, cfg.knn_least)
+    near = near.select(F.least("q", "c").alias("q"), F.greatest("q", "c").alias("c"), "sim").distinct()
+    facts = names.join(vectors.select("id", "pos"), "id")
+    left, right = (facts.select(F.col("pos").alias(p), *(F.col(c).alias(f"{c}_{n}") for c in ("id", "prenom", "langue", "geo"))) for p, n in (("q", "x"), ("c", "y")))
+    rows = near.join(left, "q").join(right, "c")
+    same = lambda c: F.coalesce((F.col(f"{c}_x") == F.col(f"{c}_y")) & (F.col(f"{c}_x") != ""), F.lit(False))
+    rows = cut(rows.where(F.round(matching.composite(F.col("sim"), same("langue"), same("geo")), 9) >= cfg.final_least), "near_names")
+    generic = matching.generic_texts(names, "id", "texte", cfg.generic_text)
+    radicals = matching.blocked_radicals(names, "prenom", cfg.radical_names)
+    free = fusion_pairs(rows.select(F.col("prenom_x").alias("a"), F.col("prenom_y").alias("b")).distinct(), names, generic, radicals, cfg)
+    return rows.join(free.select(F.col("a").alias("prenom_x"), F.col("b").alias("prenom_y")), ["prenom_x", "prenom_y"]).select(F.col("id_x").alias("a"), F.col("id_y").alias("b"), "sim")
+
+
+def regroup_first_names(names: DataFrame, vectors: DataFrame, links: DataFrame, cfg: FirstNames = FirstNames()) -> DataFrame:
+    """(id, label): groups from links (a, b), merged along near vectors where the centroids agree; names without a vector go with their group."""
+    groups = cut(whole_groups(names.select(F.col("prenom").alias("id")), links).select(F.col("id").alias("prenom"), F.col("root").alias("groupe")), "groups")
+    members = cut(names.select("id", "prenom").join(groups, "prenom").join(vectors.select("id", "v"), "id").select("id", F.col("groupe").alias("group"), "v"), "members")
+    merged = graph.gated_merge(members, near_first_names(names, vectors, groups, cfg), cfg.centroid_least)
+    labels = members.select("id", F.col("group").alias("groupe")).join(merged, "id").groupBy("groupe").agg(F.min("label").alias("label"))
+    return names.select("id", "prenom").join(groups, "prenom").join(labels, "groupe", "left").select("id", F.coalesce("label", "groupe").alias("label"))
+
+
 def member_names(groups: DataFrame, names: DataFrame) -> DataFrame:
     """(id_groupe_total, lot, membres): display names of members in order, those without a record in title case."""
     rows = groups.select("id_groupe_total", "lot", F.posexplode("noms").alias("at", "nom")).distinct()

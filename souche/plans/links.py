@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from souche.operators import graph, matching, metrics, serve, skew, summarize, tfidf
-from souche.session import read
+from souche.operators import graph, matching, metrics, pipelines, serve, skew, summarize, tfidf
+from souche.session import cut, read
 
 
 def _surnames(s, d):
@@ -108,16 +108,23 @@ def star_components(s, d):
     return graph.components(_edges(s, d).unionByName(graph.star_edges(texts, "prenom", "g"))).select(F.col("id").alias("prenom"), "root")
 
 
-def gated(s, d):
-    """Links start the groups, near vectors of the query set merge them where centroids agree."""
-    names = _first_names(s, d).select("id", "prenom").distinct()
-    start = components(s, d)
+def _named(s, d):
+    rows = _first_names(s, d).select("prenom", "id", F.col("texte_brut").alias("texte"), "langue", "geo")
     vec = read(s, d, "prenoms_vecteurs").where("embedding IS NOT NULL").select("pos", "id", F.col("embedding").alias("v"))
-    members = names.join(start, "prenom", "left").join(vec.select("id", "v"), "id").select("id", F.coalesce("root", "prenom").alias("group"), "v")
-    near = knn_queries(s, d).where("sim >= 0.88")
-    ids = vec.select(F.col("pos"), "id")
-    cand = near.join(ids.select(F.col("pos").alias("q"), F.col("id").alias("a")), "q").join(ids.select(F.col("pos").alias("c"), F.col("id").alias("b")), "c").select("a", "b", "sim")
-    return graph.gated_merge(members, cand)
+    return skew.first_rows(rows, ["prenom"], ["id", F.desc_nulls_last("langue"), F.desc_nulls_last("geo"), F.desc_nulls_last("texte")]), vec
+
+
+def gated(s, d):
+    """Links start the groups, near vectors of all names merge them where centroids agree."""
+    names, vec = _named(s, d)
+    groups = cut(pipelines.whole_groups(names.select(F.col("prenom").alias("id")), _edges(s, d)).select(F.col("id").alias("prenom"), F.col("root").alias("groupe")), "groups")
+    members = names.select("id", "prenom").join(groups, "prenom").join(vec.select("id", "v"), "id").select("id", F.col("groupe").alias("group"), "v")
+    return graph.gated_merge(members, pipelines.near_first_names(names, vec, groups))
+
+
+def regrouped_first_names(s, d):
+    names, vec = _named(s, d)
+    return pipelines.regroup_first_names(names, vec, matching.explicit_links(_first_names(s, d), "prenom", "prenoms_lies"))
 
 
 def outliers(s, d):
@@ -159,6 +166,7 @@ QUERIES = {
     "cluster_stats": cluster_stats,
     "star_components": star_components,
     "gated_merge": gated,
+    "regroup_first_names": regrouped_first_names,
     "outliers": outliers,
     "majority_vote": lambda s, d: summarize.first_seen_vote(read(s, d, "events").select("user_id", "event_type", "event_id"), "user_id", "event_type", "event_id"),
     "date_vote": lambda s, d: summarize.date_vote(read(s, d, "prenoms_grouped").select("id", "id_groupe_total", "date").distinct(), "id_groupe_total", "id"),

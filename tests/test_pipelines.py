@@ -48,3 +48,14 @@ def test_outliers_and_stats(spark):
     s = graph.cluster_stats(df, "g").first()
     assert (s.clusters, s.singletons, s.singleton_pct, s.mean_size, s.max_size) == (2, 1, 50.0, 2.0, 3)
     assert graph.cluster_stats(df.limit(0), "g").first().clusters == 0
+
+
+def test_first_names_merge_along_all_near_vectors(spark):
+    x, y = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [("01", "marielle", x), ("02", "marinette", x), ("03", "gaspard", y), ("04", "gaspardine", None), ("05", "melchior", [0.0, 0.95, 0.31])]
+    text = "un nom de cinq mots au moins "
+    names = spark.createDataFrame([(i, n, text + n, "fr", "") for i, n, _ in rows], "id string, prenom string, texte string, langue string, geo string")
+    vec = spark.createDataFrame([(at, i, v) for at, (i, _, v) in enumerate(rows) if v], "pos bigint, id string, v array<float>")
+    links = spark.createDataFrame([("gaspard", "gaspardine")], "a string, b string")
+    got = {r.id: r.label for r in pipelines.regroup_first_names(names, vec, links).collect()}
+    assert got == {"01": "marielle", "02": "marielle", "03": "gaspard", "04": "gaspard", "05": "gaspard"}
