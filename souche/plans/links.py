@@ -128,8 +128,9 @@ def regrouped_first_names(s, d):
 
 
 def outliers(s, d):
+    """Members far from the centroid of their group, in groups of any size, as the SQL has it."""
     rows = read(s, d, "embeddings").select("vec_id", (F.col("vec_id") % 50).alias("g"), F.col("embedding").alias("v"))
-    return graph.outliers(rows, "vec_id", "g", "v")
+    return graph.outliers(rows, "vec_id", "g", "v", most=2**31 - 1)
 
 
 def cohesion(s, d):

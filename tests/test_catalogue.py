@@ -54,3 +54,9 @@ def test_groups_keep_all_members(spark, tmp_path):
 def test_groups_keep_all_texts(spark, tmp_path):
     spark.createDataFrame([(f"{i:03}", 1, f"t{i}") for i in range(45)], "id string, id_groupe_total int, provenance string").write.parquet(f"{tmp_path}/prenoms_grouped.parquet")
     assert [r.texte for r in entry.queries()["group_texts"](spark, str(tmp_path)).collect()] == [" --- ".join(f"t{i}" for i in range(45))]
+
+
+def test_outliers_of_groups_of_any_size(spark, tmp_path):
+    rows = [(i, [1.0, 0.0] if i >= 50 else [0.0, 1.0], 0) for i in range(2000)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert sorted(r.vec_id for r in entry.queries()["outliers"](spark, str(tmp_path)).collect()) == list(range(50))
