@@ -1,24 +1,29 @@
 """Most similar vectors for every vector (problem 6). Similarity is the inner product.
 
-Method: exact. Distinct vectors meet in tiles, each pair of tiles once (``knn_self``), so close vectors are
-told apart however many there are. The products grow with the square of the distinct vectors.
-
-With ``probes``, approximate: an inverted file of coarse centroids with product-quantised
-residuals, asymmetric distance tables, and exact reranking. It misses neighbours beyond the probed
-cells, and beyond the ``rerank`` best estimates where many different vectors are close together.
-
-* Fit, on a bounded sample (``sample`` vectors of smallest hash, a parameter): coarse centroids
-  by k-means, then one codebook of 256 words per sub-space on the residuals. Everything else
-  covers every vector. The number of centroids follows the number of vectors (its root).
+Method: an inverted file of coarse centroids with product-quantised residuals, asymmetric
+distance tables and exact reranking. Nothing is capped: what is left out is left out by a bound.
+
+* Fit in two levels. ``sample`` vectors of smallest hash (a parameter) give the driver the fourth root of n
+  upper centroids; each upper cell then fits its own centroids in a task, one for every ``PER_CELL``
+  of its sampled vectors, in lots of at most ``LOT`` vectors. So there are ``PER_CELL``
+  vectors to a centroid at any n, and about root n cells (``MOST_CELLS`` at most: it bounds the
+  broadcast, 100 MB at 768 values; beyond it cells grow). The residual codebooks (256 words a sub-space) come
+  from the driver's sample. Every vector is indexed and asked.
 * Equal vectors are folded first: one row stands for all, with the smallest ``k + 1`` positions
   (bounded), enough for any top k when ties go to the smaller position.
-* Each vector is coded once (cell, codes, error) and sent to its cell; as a query it goes to its
-  ``probes`` nearest cells as half floats. Cells of any size are served in blocks of
-  ``block`` codes, so a cell holding a third of all rows is spread over tasks.
-* In a block, one table per query and sub-space gives estimates of all inner products; those
-  that could reach ``least`` (``slack`` below it) or the ``rerank`` best stay, and per query the
-  ``rerank`` best over all blocks.
-* Candidates are reranked by exact inner products of the stored vectors.
+* Cells lie on shelves of at most ``block`` vectors, neighbours together; a larger cell takes
+  several shelves, so a cell holding a third of all rows is spread over tasks. A query goes
+  once to each shelf that has one of its cells, in lots of ``ASK``, with its vector.
+* On a shelf, one table per query and sub-space gives estimates of all inner products in a cell. A
+  member stays if its estimate, plus the quantisation error it may have, reaches both ``least`` and
+  the query's k-th best so far (less that error). All that stay are measured exactly, there.
+* First a query asks its ``probes`` nearest cells. Then it asks every other cell whose members
+  could reach its k-th best: centroid product plus ``SURE`` deviations of the cell's
+  residuals. So a crowd of close but different vectors, which no clustering can tell apart, is
+  searched whole; far cells are not.
+
+Errors and deviations are those of directions spread over the residuals' effective dimension, four of
+them (``SURE``): estimates, not proofs, hence recall is measured against brute force (README).
 
 Defined edge cases: null and empty vectors, those of another length than most, and vectors with nulls take no part; all-zero
 vectors do (their similarity is 0); a position given twice counts once; k above the table gives
@@ -31,22 +36,22 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from souche.operators import serve
-from souche.session import cut
+from souche.session import cut, drop_cut
 
-SAMPLE = 10_000
+SAMPLE = 10_240
+PER_CELL = 100
+LOT = 12_800
+MOST_CELLS = 1 << 15
 SUBSPACES = 48
 WORDS = 256
-PROBES = 8
-RERANK = 40
-SLACK = 0.15
+PROBES = 12
+SURE = 4.0
 BLOCK = 4096
-ASK = 512
+ASK = 2048
 SLOTS = 32
 
 
@@ -74,44 +79,76 @@ def nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Coarse centroids and residual codebooks; codes are one byte per sub-space."""
+    """Coarse centroids with the deviation of their members, and residual codebooks (one byte per sub-space)."""
 
-    def __init__(self, sample: np.ndarray, cells: int, subspaces: int = SUBSPACES, seed: int = 7):
+    def __init__(self, sample: np.ndarray, coarse: np.ndarray, spread: np.ndarray, subspaces: int = SUBSPACES, seed: int = 7):
         dim = sample.shape[1]
         self.dim, self.parts = dim, min(subspaces, dim)
         self.bounds = np.linspace(0, dim, self.parts + 1).astype(int)
-        self.coarse = kmeans(sample, cells, 8, seed)
-        rest = sample - self.coarse[nearest(sample, self.coarse)]
+        self.coarse = coarse
+        self.half = (coarse * coarse).sum(1) / 2
+        rest = sample - coarse[nearest(sample, coarse)]
+        # directions are spread over this many dimensions
+        gram = rest.T @ rest
+        self.spread_over = float(max(1.0, np.trace(gram) ** 2 / max(float((gram * gram).sum()), 1e-30)))
+        self.deviation = (np.sqrt(spread) / math.sqrt(self.spread_over)).astype(np.float32)
         self.books = [kmeans(rest[:, a:b], WORDS, 6, seed + 1 + i) for i, (a, b) in enumerate(zip(self.bounds, self.bounds[1:]))]
 
-    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Cell, codes and the stretch that makes estimates unbiased (codewords are means, so too short)."""
+    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Cell, codes, the stretch that makes estimates unbiased (codewords are means, so too short), and the deviation left."""
         cell = nearest(x, self.coarse)
         rest = x - self.coarse[cell]
         codes = np.stack([nearest(rest[:, a:b], book) for a, b, book in zip(self.bounds, self.bounds[1:], self.books)], axis=1)
         coded = np.concatenate([book[codes[:, i]] for i, book in enumerate(self.books)], axis=1)
         along = (rest * coded).sum(1)
-        stretch = np.where(along > 1e-9, (rest * rest).sum(1) / np.maximum(along, 1e-9), 1.0)
-        return cell, codes.astype(np.uint8), np.clip(stretch, 0, 8).astype(np.float32)
+        stretch = np.clip(np.where(along > 1e-9, (rest * rest).sum(1) / np.maximum(along, 1e-9), 1.0), 0, 8).astype(np.float32)
+        left = np.linalg.norm(rest - stretch[:, None] * coded, axis=1) / math.sqrt(self.spread_over)
+        return cell, codes.astype(np.uint8), stretch, left.astype(np.float32)
 
     def probes(self, x: np.ndarray, n: int) -> np.ndarray:
         """The n cells nearest to each vector."""
-        score = x @ self.coarse.T - (self.coarse * self.coarse).sum(1) / 2
         n = min(n, len(self.coarse))
-        return np.argpartition(-score, n - 1, axis=1)[:, :n]
+        return np.argpartition(self.half - x @ self.coarse.T, n - 1, axis=1)[:, :n]
+
+    def further(self, x: np.ndarray, n: int, reach: np.ndarray) -> list[np.ndarray]:
+        """Cells beyond the n nearest whose members could have an inner product of ``reach``."""
+        dots = x @ self.coarse.T
+        bound = dots + SURE * np.linalg.norm(x, axis=1)[:, None] * self.deviation[None, :]
+        n = min(n, len(self.coarse))
+        near = np.argpartition(self.half - dots, n - 1, axis=1)[:, :n]
+        open_ = bound >= reach[:, None] - 1e-6
+        np.put_along_axis(open_, near, False, 1)
+        return [np.flatnonzero(row).astype(np.int32) for row in open_]
 
     def estimates(self, queries: np.ndarray, cell: int, codes: np.ndarray, stretch: np.ndarray) -> np.ndarray:
         """Asymmetric: exact query against coded vectors, through one table per query and sub-space."""
         out = np.zeros((len(codes), len(queries)), np.float32)
         for i, (a, b, book) in enumerate(zip(self.bounds, self.bounds[1:], self.books)):
             out += (book @ queries[:, a:b].T)[codes[:, i]]
-        return (out * stretch[:, None]).T + (queries @ self.coarse[cell])[:, None]
+        out *= stretch[:, None]
+        out += (queries @ self.coarse[cell])[None, :]
+        return out.T
 
 
 def _matrix(column: pa.ListArray, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float32, copy=False).reshape(-1, dim) if len(column) else np.zeros((0, dim), np.float32)
 
 
+def _pack(x: np.ndarray) -> pa.Array:
+    """Vectors as bytes: half floats where those hold every value, else floats."""
+    with np.errstate(over="ignore"):
+        half = x.astype(np.float16)
+    fits = (half.astype(np.float32) == x).all(axis=1)
+    return pa.array([h.tobytes() if f else v.tobytes() for f, h, v in zip(fits, half, x)], pa.binary())
+
+
+def _unpack(column: pa.Array, dim: int) -> np.ndarray:
+    values = column.to_pylist()
+    if values and all(len(v) == 2 * dim for v in values):
+        return np.frombuffer(b"".join(values), np.float16).reshape(-1, dim).astype(np.float32)
+    return np.stack([np.frombuffer(v, np.float16 if len(v) == 2 * dim else np.float32).astype(np.float32) for v in values]) if values else np.zeros((0, dim), np.float32)
+
+
 def folded(df: DataFrame, pos: str, vector: str, k: int) -> tuple[DataFrame, int]:
     """(key, v, members) and the length: distinct vectors, key the smallest position, members the k + 1 smallest (k at least 1)."""
     base = df.select(F.col(pos).cast("bigint").alias("pos"), F.col(vector).cast("array<float>").alias("v")).where("pos IS NOT NULL AND size(v) > 0 AND NOT exists(v, x -> x IS NULL OR isnan(x))")
@@ -128,97 +165,267 @@ def folded(df: DataFrame, pos: str, vector: str, k: int) -> tuple[DataFrame, int
     return base.join(classes, F.col("pos") == F.col("key")).select("key", "v", "members").dropDuplicates(["key"]), (length.n if length else 0)
 
 
-def fit(vectors: DataFrame, n: int, sample: int = SAMPLE, subspaces: int = SUBSPACES) -> Index:
-    """The index fitted on at most ``sample`` vectors, those of smallest hash."""
-    share = min(1.0, 1.3 * sample / max(n, 1) + 50 / max(n, 1))
-    part = vectors.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < math.ceil(share * 1_000_000))
-    rows = part.orderBy(F.xxhash64("key"), "key").limit(sample).select("v").toArrow().column("v").combine_chunks()
-    dim = len(rows[0])
-    return Index(_matrix(rows, dim), max(1, int(round(math.sqrt(n)))), subspaces)
+def _sampled(vectors: DataFrame, n: int, wanted: int) -> DataFrame:
+    """About ``wanted`` vectors and a few more, those of smallest hash."""
+    share = min(1.0, 1.1 * wanted / max(n, 1) + 50 / max(n, 1))
+    return vectors.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < math.ceil(share * 1_000_000)).select("key", "v")
 
 
-def candidates(vectors: DataFrame, index: Index, dim: int, probes: int, rerank: int, least: float | None, slack: float, block: int) -> DataFrame:
-    """(q, c): per query vector the candidates that the asymmetric estimates leave."""
-    shared = vectors.sparkSession.sparkContext.broadcast(index)
+def fit(vectors: DataFrame, n: int, dim: int, sample: int = SAMPLE, per_cell: int = PER_CELL, lot: int = LOT, subspaces: int = SUBSPACES, most_cells: int = MOST_CELLS) -> Index:
+    """The index: upper centroids and codebooks from at most ``sample`` vectors, cells from ``per_cell`` vectors each."""
+    rows = _sampled(vectors, n, sample).orderBy(F.xxhash64("key"), "key").limit(sample).select("v").toArrow().column("v").combine_chunks()
+    own = _matrix(rows, dim)
+    cells = max(1, min(most_cells, round(math.sqrt(n))))
+    upper = kmeans(own, max(1, round(math.sqrt(cells))), 8, 7)
+    shared = vectors.sparkSession.sparkContext.broadcast(upper)
 
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cell, codes, stretch = shared.value.encode(_matrix(batch.column("v"), dim))
-            data = pa.array([s.tobytes() + c.tobytes() for s, c in zip(stretch, codes)], pa.binary())
-            near = pa.array(list(shared.value.probes(_matrix(batch.column("v"), dim), probes).astype(np.int32)), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(cell.astype(np.int32)), data, near], names=["key", "cell", "code", "near"])
+            x = _matrix(batch.column("v"), dim)
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(nearest(x, shared.value).astype(np.int32)), _pack(x)], names=["key", "top", "b"])
+
+    placed = cut(_sampled(vectors, n, per_cell * cells).mapInArrow(place, "key bigint, top int, b binary"), "sampled")
+    # at most as many rows as upper cells; a crowded one fits in several lots, none larger than about ``lot``
+    sizes = {r.top: r.n for r in placed.groupBy("top").agg(F.count("*").alias("n")).collect()}
+    lots = F.create_map(*(F.lit(x) for top, size in sizes.items() for x in (top, -(-size // lot))))
+    parted = placed.withColumn("lot", F.pmod(F.xxhash64("key"), lots[F.col("top")]).cast("int"))
+
+    def cells_of(table: pa.Table) -> pa.Table:
+        table = table.sort_by("key")
+        x = _unpack(table["b"].combine_chunks(), dim)
+        c = kmeans(x, max(1, len(x) // per_cell), 8, 7)
+        near = nearest(x, c)
+        far = np.bincount(near, ((x - c[near]) ** 2).sum(1), minlength=len(c)) / np.maximum(np.bincount(near, minlength=len(c)), 1)
+        n_ = len(c)
+        return pa.table([table["top"][:1].combine_chunks().take(pa.array([0] * n_)), table["lot"][:1].combine_chunks().take(pa.array([0] * n_)), pa.array(far), pa.array([v.tobytes() for v in c.astype(np.float32)], pa.binary())], names=["top", "lot", "far", "c"])
+
+    found = parted.groupBy("top", "lot").applyInArrow(cells_of, "top int, lot int, far double, c binary").toArrow().sort_by([("top", "ascending"), ("lot", "ascending"), ("c", "ascending")])
+    drop_cut(placed)
+    coarse = np.frombuffer(b"".join(found["c"].to_pylist()), np.float32).reshape(-1, dim)
+    return Index(own, coarse, found["far"].to_numpy(), subspaces)
+
+
+class Shelves:
+    """Where cells lie: cell -> its first shelf and how many it takes."""
+
+    def __init__(self, sizes: np.ndarray, block: int):
+        self.first, self.taken = np.zeros(len(sizes), np.int32), np.ones(len(sizes), np.int32)
+        shelf, held = 0, 0
+        for cell, size in enumerate(sizes.tolist()):
+            if held and held + size > block:
+                shelf, held = shelf + 1, 0
+            self.first[cell] = shelf
+            held += size
+            if held > block:
+                self.taken[cell] = -(-held // block)
+                shelf, held = shelf + int(self.taken[cell]), 0
+        self.count = shelf + 1
+
+    def of(self, cells: np.ndarray) -> dict[int, list[int]]:
+        """Shelves of the cells asked, with the cells on each."""
+        out: dict[int, list[int]] = {}
+        for cell, first, taken in zip(cells.tolist(), self.first[cells].tolist(), self.taken[cells].tolist()):
+            for shelf in range(first, first + taken):
+                out.setdefault(shelf, []).append(cell)
+        return out
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def stocked(vectors: DataFrame, shared, shelves, dim: int) -> DataFrame:
+    """(shelf, rows): the coded vectors of each shelf with their exact values, one row a shelf."""
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, where = shared.value, shelves.value
+        for batch in _pieces(batches):
             x = _matrix(batch.column("v"), dim)
-            near = shared.value.probes(x, probes)
-            half = pa.array([v.tobytes() for v in x.astype(np.float16)], pa.binary())
-            rows = pa.array(np.repeat(np.arange(len(x)), near.shape[1]))
-            out = pa.RecordBatch.from_arrays([batch.column("key").take(rows), pa.array(near.ravel().astype(np.int32)), half.take(rows)], names=["key", "cell", "half"])
-            for at in range(0, out.num_rows, 2000):
-                yield out.slice(at, 2000)
-
-    coded = cut(vectors.select("key", "v").mapInArrow(code, "key bigint, cell int, code binary, near array<int>"), "codes")
-    held = coded.groupBy("cell").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    wanted = coded.select(F.explode("near").alias("cell")).groupBy("cell").agg(F.ceil(F.count("*") / ASK).cast("int").alias("asks"))
-    # one row per cell, the root of the number of vectors
-    sizes = cut(held.join(wanted, "cell"), "cells")
-    # a block's codes are packed into one row of at most about 2 * block codes
-    packed = (
-        coded.select("key", "cell", "code").join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
-        .groupBy("cell", "part").agg(F.collect_list(F.struct("key", "code")).alias("codes"))
-    )
-    asked = vectors.select("key", "v").mapInArrow(ask, "key bigint, cell int, half binary")
-    # queries of a cell come in parts as well, each with every block of the cell
-    asked = asked.join(sizes, "cell").withColumn("ask", F.pmod(F.xxhash64("key"), "asks").cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    queries = asked.groupBy("cell", "part", "ask").agg(F.collect_list(F.struct("key", "half")).alias("queries"))
-    paired = queries.join(packed, ["cell", "part"]).select("cell", "queries", "codes")
+            cell, codes, stretch, left = index.encode(x)
+            keys = batch.column("key").to_numpy()
+            part = (keys * 0x9E3779B1 >> 16) % where.taken[cell]
+            data = pa.array([s.tobytes() + e.tobytes() + c.tobytes() for s, e, c in zip(stretch, left, codes)], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array((where.first[cell] + part).astype(np.int32)), pa.array(cell.astype(np.int32)), batch.column("key"), data, _pack(x)], names=["shelf", "cell", "key", "code", "b"])
+
+    rows = vectors.select("key", "v").mapInArrow(code, "shelf int, cell int, key bigint, code binary, b binary")
+    return rows.groupBy("shelf").agg(F.collect_list(F.struct("cell", "key", "code", "b")).alias("rows"))
+
+
+def searched(stock: DataFrame, asks: DataFrame, counts: dict[int, int], shared, dim: int, k: int, least: float | None) -> DataFrame:
+    """(q, c, sim): per shelf and query of ``asks`` (shelf, key, b, cells) its k best, exactly measured."""
+    spark = stock.sparkSession
+    if not counts:
+        return spark.createDataFrame([], "q bigint, c bigint, sim double")
+    lots = {shelf: max(1, -(-n // ASK)) for shelf, n in counts.items()}
+    # one row a shelf: the root of the number of vectors, or the vectors over a block
+    table = spark.createDataFrame(list(lots.items()), "shelf int, lots int")
+    parts = max(1, sum(lots.values()) // 2)
+    queries = asks.join(F.broadcast(table), "shelf").withColumn("lot", F.pmod(F.xxhash64("key"), "lots").cast("int")).groupBy("shelf", "lot").agg(F.collect_list(F.struct("key", "b", "cells")).alias("queries"))
+    held = stock.join(F.broadcast(table), "shelf").withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1))).select("shelf", "lot", "rows")
+    # few rows to a partition, as Python gets many rows of one at once
+    pairs = queries.repartition(parts, "shelf", "lot").join(held.repartition(parts, "shelf", "lot").hint("merge"), ["shelf", "lot"]).select("queries", "rows")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
             for i in range(batch.num_rows):
-                cell = batch.column("cell")[i].as_py()
-                q, c = batch.column("queries")[i].values, batch.column("codes")[i].values
-                qk, ck = q.field("key").to_numpy(), c.field("key").to_numpy()
-                data = np.frombuffer(b"".join(c.field("code").to_pylist()), np.uint8).reshape(len(ck), -1)
-                stretch, codes = data[:, :4].copy().view(np.float32)[:, 0], data[:, 4:]
-                halves = q.field("half").to_pylist()
-                for at in range(0, len(qk), 256):
-                    x = np.frombuffer(b"".join(halves[at : at + 256]), np.float16).reshape(-1, dim).astype(np.float32)
-                    score = index.estimates(x, cell, codes, stretch)
-                    score[qk[at : at + 256, None] == ck[None, :]] = -np.inf
-                    if least is not None:
-                        score[score < least - slack] = -np.inf
-                    top = min(rerank, len(ck))
-                    best = np.argpartition(-score, top - 1, axis=1)[:, :top]
-                    value = np.take_along_axis(score, best, 1)
-                    r, s = np.nonzero(np.isfinite(value))
-                    yield pa.RecordBatch.from_arrays([pa.array(qk[at + r]), pa.array(ck[best[r, s]]), pa.array(value[r, s].astype(np.float32))], names=["q", "c", "estimate"])
-
-    found = paired.mapInArrow(scan, "q bigint, c bigint, estimate float")
-    rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("estimate"), "c"))
-    return found.withColumn("r", rank).where(F.col("r") <= rerank).select("q", "c")
-
-
-def exact(pairs: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:
-    """(q, c, similarity) of stored vectors, in doubles; a pair asked from both sides is measured once."""
-    one = pairs.select(F.least("q", "c").alias("q"), F.greatest("q", "c").alias("c")).distinct()
-    left = vectors.select(F.col("key").alias("q"), F.col("v").alias("a"))
-    right = vectors.select(F.col("key").alias("c"), F.col("v").alias("b"))
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                yield from _scan(index, batch.column("queries")[i].values, batch.column("rows")[i].values, dim, k, least)
+
+    return pairs.mapInArrow(scan, "q bigint, c bigint, sim double")
+
+
+def _scan(index: Index, asked: pa.StructArray, held: pa.StructArray, dim: int, k: int, least: float | None) -> Iterator[pa.RecordBatch]:
+    """Queries of one lot against one shelf."""
+    cell = held.field("cell").to_numpy()
+    order = np.argsort(cell, kind="stable")
+    held, cell = held.take(pa.array(order)), cell[order]
+    key = held.field("key").to_numpy()
+    x = _unpack(held.field("b"), dim)
+    data = np.frombuffer(b"".join(held.field("code").to_pylist()), np.uint8).reshape(len(key), -1)
+    stretch, left, codes = data[:, :4].copy().view(np.float32)[:, 0], data[:, 4:8].copy().view(np.float32)[:, 0], data[:, 8:]
+    lists = asked.field("cells")
+    for at in range(0, len(asked), 1024):
+        part = asked.slice(at, 1024)
+        qk, q = part.field("key").to_numpy(), _unpack(part.field("b"), dim)
+        length = np.linalg.norm(q, axis=1)
+        wanted = lists.slice(at, 1024)
+        who, what = np.repeat(np.arange(len(qk)), np.diff(wanted.offsets.to_numpy())), wanted.flatten().to_numpy()
+        by = np.argsort(what, kind="stable")
+        who, what = who[by], what[by]
+        best = np.full((len(qk), k), -np.inf)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for c in np.unique(what):
+            rows = who[np.searchsorted(what, c) : np.searchsorted(what, c, "right")]
+            a, b = np.searchsorted(cell, c), np.searchsorted(cell, c, "right")
+            if a == b:
+                continue
+            est = index.estimates(q[rows], int(c), codes[a:b], stretch[a:b])
+            slack = SURE * length[rows][:, None] * left[None, a:b]
+            own = qk[rows][:, None] == key[None, a:b]
+            reach = best[rows, k - 1]
+            if least is not None:
+                reach = np.maximum(reach, least)
+            if b - a > k + 1:
+                low = np.where(own, -np.inf, est - slack)
+                reach = np.maximum(reach, np.partition(low, b - a - k, axis=1)[:, b - a - k])
+            r, s = np.nonzero((est + slack >= reach[:, None] - 1e-6) & ~own)
+            if not len(r):
+                continue
+            value = _products(q[rows], x[a:b], r, s)
+            if least is not None:
+                r, s, value = r[value >= least], s[value >= least], value[value >= least]
+                if not len(r):
+                    continue
+            found.append((rows[r], a + s, value))
+            # the k best so far of the queries that found any
+            some, short = np.unique(r, return_inverse=True)
+            new = np.full((len(some), b - a), -np.inf)
+            new[short, s] = value
+            both = np.concatenate([best[rows[some]], new], axis=1)
+            best[rows[some]] = -np.sort(np.partition(-both, k - 1, axis=1)[:, :k], axis=1)
+        if found:
+            r, s, value = (np.concatenate(f) for f in zip(*found))
+            keep = value >= best[r, k - 1]
+            r, s, value = r[keep], s[keep], value[keep]
+            order = np.lexsort((key[s], -value, r))
+            r, s, value = r[order], s[order], value[order]
+            few = np.arange(len(r)) - np.searchsorted(r, r) < k
+            yield pa.RecordBatch.from_arrays([pa.array(qk[r[few]]), pa.array(key[s[few]]), pa.array(value[few])], names=["q", "c", "sim"])
+
+
+def _products(q: np.ndarray, x: np.ndarray, r: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """Inner products in doubles of the rows r of q with the rows s of x: as one product where many are wanted."""
+    if len(r) * 30 > len(q) * len(x):
+        return np.round(q.astype(float) @ x.astype(float).T, 12)[r, s]
+    out = [np.einsum("ij,ij->i", q[r[i : i + 4096]].astype(float), x[s[i : i + 4096]].astype(float)) for i in range(0, len(r), 4096)]
+    return np.round(np.concatenate(out), 12)
+
+
+def ranked(ways: DataFrame, k: int) -> DataFrame:
+    return ways.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("sim"), "c"))).where(F.col("r") <= k)
+
+
+def found_ways(vectors: DataFrame, n: int, dim: int, k: int, least: float | None, probes: int, block: int, **fitting) -> DataFrame:
+    """(q, c, sim): for every distinct vector its nearest others, by the index."""
+    spark = vectors.sparkSession
+    index = fit(vectors, n, dim, **fitting)
+    shared = spark.sparkContext.broadcast(index)
+
+    def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _pieces(batches):
+            x = _matrix(batch.column("v"), dim)
+            yield pa.RecordBatch.from_arrays([pa.array(nearest(x, shared.value.coarse).astype(np.int32)), pa.array(list(shared.value.probes(x, probes).astype(np.int32)), pa.list_(pa.int32()))], names=["cell", "near"])
+
+    surveyed = cut(vectors.select("v").mapInArrow(survey, "cell int, near array<int>"), "survey")
+    sizes = np.zeros(len(index.coarse), np.int64)
+    for r in surveyed.groupBy("cell").agg(F.count("*").alias("n")).collect():  # one row a cell
+        sizes[r.cell] = r.n
+    shelves = spark.sparkContext.broadcast(Shelves(sizes, block))
+    stock = cut(stocked(vectors, shared, shelves, dim), "stock")
+
+    def shelved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked_of = np.zeros(shelves.value.count, np.int64)
         for batch in batches:
-            a, b = _matrix(batch.column("a"), dim).astype(np.float64), _matrix(batch.column("b"), dim).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("c"), pa.array((a * b).sum(1))], names=["q", "c", "similarity"])
+            for cells in batch.column("near").to_pylist():
+                for shelf in shelves.value.of(np.array(cells, np.int64)):
+                    asked_of[shelf] += 1
+        at = np.flatnonzero(asked_of)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(asked_of[at])], names=["shelf", "n"])
 
-    return one.join(left, "q").join(right, "c").select("q", "c", "a", "b").mapInArrow(measure, "q bigint, c bigint, similarity double")
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _pieces(batches):
+            x = _matrix(batch.column("v"), dim)
+            yield _asked(batch.column("key"), x, list(shared.value.probes(x, probes)), shelves.value)
 
+    def more(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _pieces(batches):
+            x = _matrix(batch.column("v"), dim)
+            reach = batch.column("kth").to_numpy(zero_copy_only=False).astype(float)
+            reach = np.where(np.isnan(reach), -np.inf if least is None else least, reach)
+            yield _asked(batch.column("key"), x, shared.value.further(x, probes, reach), shelves.value)
 
-def neighbours(df: DataFrame, k: int = 5, pos: str = "pos", vector: str = "embedding", least: float | None = None, probes: int | None = None, rerank: int = RERANK, sample: int = SAMPLE, slack: float = SLACK, block: int = BLOCK) -> DataFrame:
+    def could(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _pieces(batches):
+            x = _matrix(batch.column("v"), dim)
+            far = shared.value.further(x, probes, np.full(len(x), least))
+            yield batch.filter(pa.array([len(f) > 0 for f in far], pa.bool_()))
+
+    def per_shelf(rows: DataFrame) -> dict[int, int]:
+        return {r.shelf: r.n for r in rows.groupBy("shelf").agg(F.sum("n").alias("n")).collect()}
+
+    asked = "shelf int, key bigint, b binary, cells array<int>"
+    plain = vectors.select("key", "v")
+    first = cut(searched(stock, plain.mapInArrow(ask, asked), per_shelf(surveyed.select("near").mapInArrow(shelved, "shelf int, n bigint")), shared, dim, k, least), "ways")
+    drop_cut(surveyed)
+    # the k-th best so far, from either side of what was found
+    both = first.unionByName(first.select(F.col("c").alias("q"), F.col("q").alias("c"), "sim")).distinct()
+    kth = ranked(both, k).where(F.col("r") == k).select(F.col("q").alias("key"), F.col("sim").alias("kth"))
+    left = plain if least is None else plain.mapInArrow(could, "key bigint, v array<float>")
+    rest = cut(left.join(kth, "key", "left").mapInArrow(more, asked), "asks")
+    second = cut(searched(stock, rest, per_shelf(rest.select("shelf", F.lit(1).alias("n"))), shared, dim, k, least), "ways")
+    drop_cut(rest)
+    drop_cut(stock)
+    every = first.unionByName(second)
+    return every.unionByName(every.select(F.col("c").alias("q"), F.col("q").alias("c"), "sim")).distinct()
+
+
+def _asked(keys: pa.Array, x: np.ndarray, cells: list[np.ndarray], shelves: Shelves) -> pa.RecordBatch:
+    rows, shelf, lists = [], [], []
+    for i, wanted in enumerate(cells):
+        for s, c in shelves.of(wanted).items():
+            rows.append(i)
+            shelf.append(s)
+            lists.append(c)
+    rows = pa.array(rows, pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(shelf, pa.int32()), keys.take(rows), _pack(x).take(rows), pa.array(lists, pa.list_(pa.int32()))], names=["shelf", "key", "b", "cells"])
+
+
+def neighbours(df: DataFrame, k: int = 5, pos: str = "pos", vector: str = "embedding", least: float | None = None, probes: int = PROBES, block: int = BLOCK, **fitting) -> DataFrame:
     """(pos, other, similarity, rank): the k most similar others of every vector, ties to the smaller position.
 
-    With ``least``, only those at least that similar are wanted. Exact, unless ``probes`` asks for the index.
+    With ``least``, only those at least that similar are wanted.
     """
     spark = df.sparkSession
     schema = "pos bigint, other bigint, similarity double, rank int"
@@ -227,14 +434,10 @@ def neighbours(df: DataFrame, k: int = 5, pos: str = "pos", vector: str = "embed
     n = vectors.count()
     if not n:
         return spark.createDataFrame([], schema)
-    if probes is None:
-        # k others are enough: each stands for at least one position, and is met from both sides
-        ways = serve.knn_self(vectors.select(F.col("key").alias("id"), "v"), k, least).select("q", "c", F.col("sim").alias("similarity"))
-    else:
-        found = exact(candidates(vectors, fit(vectors, n, sample), dim, probes, rerank, least, slack, block), vectors, dim)
-        ways = found.unionByName(found.select(F.col("c").alias("q"), F.col("q").alias("c"), "similarity"))
+    # k others are enough: each stands for at least one position, and is met from both sides
+    ways = found_ways(vectors, n, dim, k, least, probes, block, **fitting).select("q", "c", F.col("sim").alias("similarity"))
     own = vectors.select(F.col("key").alias("q"), F.col("key").alias("c"), F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")).alias("similarity")).join(vectors.where("size(members) > 1").select(F.col("key").alias("q")), "q", "left_semi")
-    ways = cut(ways.unionByName(own), "ways")
+    ways = ways.unionByName(own)
     if least is not None:
         ways = ways.where(F.col("similarity") >= least)
     # per distinct vector: its best others, spread over their members; k + 1 as a member may meet itself

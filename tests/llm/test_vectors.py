@@ -22,7 +22,7 @@ def test_recall_on_clustered_vectors(spark):
     rows = [(int(2 * i + 1), v) for i, v in enumerate(x)]
     df = spark.createDataFrame([(p, [float(a) for a in v]) for p, v in rows], "pos bigint, embedding array<float>")
     got = {}
-    for r in vectors.neighbours(df, 5, sample=800).collect():
+    for r in vectors.neighbours(df, 5, probes=4, per_cell=30).collect():
         got.setdefault(r.pos, []).append(r.other)
     want = exact(rows, 5)
     assert sum(len(set(got[p]) & set(want[p])) for p in want) / (5 * len(want)) >= 0.9
@@ -42,11 +42,13 @@ def test_estimates_follow_products():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(3000, 32)).astype(np.float32)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    index = vectors.Index(x, 10, 8)
-    cell, codes, stretch = index.encode(x)
+    coarse = vectors.kmeans(x, 10, 8, 7)
+    index = vectors.Index(x, coarse, np.full(10, 0.9), 8)
+    cell, codes, stretch, left = index.encode(x)
     own = np.flatnonzero(cell == 0)
-    est = index.estimates(x[:200], 0, codes[own], stretch[own])
-    assert np.corrcoef(est.ravel(), (x[:200] @ x[own].T).ravel())[0, 1] > 0.8
+    est, true = index.estimates(x[:200], 0, codes[own], stretch[own]), x[:200] @ x[own].T
+    assert np.corrcoef(est.ravel(), true.ravel())[0, 1] > 0.8
+    assert (np.abs(est - true) <= vectors.SURE * left[own][None, :]).mean() > 0.999
 
 
 def test_a_third_of_all_rows_are_copies(spark):
