@@ -7,14 +7,19 @@ chains, pooled towards those of all records, so that weak evidence of many recor
 source adds up. A chain explains a token by undoing itself: the token's probability is then
 that of the restored token under a character model of clean text.
 
-* E: the posterior of each record's chain, from its tokens with characters beyond ASCII. A chain
-  may have touched all tokens or only some: the share touched is mixed over ``SHARES``.
+* E: the posterior of each record's chain, from its tokens with characters beyond ASCII, or with a
+  question mark inside a word. A chain may have touched all tokens or only some: the share touched is
+  mixed over ``SHARES`` and one token of the record, so clean text, however long, does
+  not outvote a damaged place in it.
 * M: the weights per source, and the character model, from all records, each counted by its
   posterior of being clean.
 
-The records pass as Arrow batches, once per round; only the tokens beyond ASCII are kept, cut
-to the shared folder. The character model is a fixed-size table (2^18 hashed pairs), so what is
+The records pass as Arrow batches, once per round; only these tokens are kept, cut
+to the shared folder. Within a batch each distinct token is judged once, and records are summed as
+matrices. A round gives back only sums (slots of the model, weights of a source); the last one the records.
+The character model is a fixed-size table (2^18 hashed pairs), so what is
 broadcast does not grow with the data; source weights are joined, not broadcast by hand.
+The corpus has one text field; ``source`` may name several fields apart by being a column of both.
 
 A record is repaired by its most probable chain, token by token, where restoring makes the token
 more probable; characters lost on the way (U+FFFD, or the tail of a pair turned to "?") are
@@ -38,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souche.session import cut
+from souche.session import cut, drop_cut
 
 #: name -> stages, each (encoding it was read with, encoding it was written in), to undo in order
 CHAINS: dict[str, tuple[tuple[str, str], ...]] = {
@@ -66,14 +71,14 @@ LOST = "characters lost"
 NAMES = ("none", *CHAINS, LOST)
 SHARES = (0.04, 0.4, 0.95)
 LOST_ODDS = math.log(1e7)
-NOTHING = math.log(1e-5)  # odds of a token under which no chain has touched it
-_SHARES = np.array(SHARES)[:, None]
+ASKED_ODDS = math.log(50)  # of a question mark inside a word: one is not enough, several are
 LETTERS = "éèàêâîôûçùëïüöäñóíáúìòœÀÉÈÊÔÎÇŒ«»"
 ROUNDS = 3
 PAIRS = 1 << 18
 CLEAN = 0.95  # weight of "none" before any record was seen
 
-_TOKEN = re.compile(r"[^ \t\n\r]*[^\x00-\x7f][^ \t\n\r]*")
+_TOKEN = re.compile(r"[^ \t\n\r]*(?:[^\x00-\x7f]|[A-Za-z]\?[a-z])[^ \t\n\r]*")
+_ASKED = re.compile(r"(?<=[A-Za-z])\?(?=[a-z])")
 _LEAD = re.compile("[Â-ß](?:\\?|$)")
 
 
@@ -176,25 +181,40 @@ class Model:
         best = max(ways, key=lambda w: (self.token(w), w))
         return self.token(best) - loss - self.token(token), best
 
-    def _odds(self, token: str) -> np.ndarray | None:
-        """Per share touched and chain, what the token adds to the log-odds; None if no chain can have made it."""
-        odds = np.array([*(self.restore(token, c)[0] for c in CHAINS), LOST_ODDS if "�" in token else -math.inf])
-        if odds.max() < NOTHING:
-            return None
-        touched = np.exp(np.clip(odds, -60, 60))
-        return np.log((1 - _SHARES) + _SHARES * touched)
-
-    def record(self, tokens: list[str], prior: np.ndarray) -> np.ndarray:
-        """Posterior of none, each chain and lost characters."""
-        odds = [self.odds(t) for t in tokens]
-        told = [o for o in odds if o is not None]
-        log = np.zeros(len(NAMES))
-        each = (len(odds) - len(told)) * np.log(1 - _SHARES) + (sum(told) if told else np.zeros((1, len(NAMES) - 1)))
+    def _odds(self, token: str) -> np.ndarray:
+        """What each chain, and lost characters, make of the token: its odds against no damage."""
+        lost = LOST_ODDS if "�" in token else ASKED_ODDS if token.isascii() else -math.inf
+        odds = np.array([*(self.restore(token, c)[0] for c in CHAINS), lost])
+        return np.exp(np.clip(odds, -60, 60))
+
+    def records(self, ids: np.ndarray, lengths: np.ndarray, odds: np.ndarray, prior: np.ndarray) -> np.ndarray:
+        """Posterior of none, each chain and lost characters for records of ``lengths`` tokens, given as rows of ``odds``."""
+        out = np.empty((len(lengths), len(NAMES)))
+        ends = np.cumsum(lengths)
+        at = 0
+        while at < len(lengths):  # slices of bounded size, but for a record larger than that
+            start = ends[at] - lengths[at]
+            to = max(at + 1, int(np.searchsorted(ends, start + 20_000, "right")))
+            out[at:to] = self._records(ids[start : ends[to - 1]], lengths[at:to], odds, prior[at:to])
+            at = to
+        return out
+
+    def _records(self, ids, lengths, odds, prior):
+        # each distinct token of a record once, with its count
+        who = np.repeat(np.arange(len(lengths)), lengths)
+        pairs, count = np.unique(who * len(odds) + ids, return_counts=True)
+        who, touched = pairs // len(odds), odds[pairs % len(odds)]
+        starts = np.searchsorted(who, np.arange(len(lengths)))
+        n = lengths.astype(float)
+        touched[:, -1] *= np.maximum(1, n / 25)[who]  # a lost character is one in a text of any length
+        least = np.minimum(SHARES[0], 1 / n)[who, None]
+        each = np.stack([np.add.reduceat(count[:, None] * np.log((1 - s) + s * touched), starts, axis=0) for s in (least, *SHARES[1:])])
         top = each.max(0)
-        log[1:] = top + np.log(np.exp(each - top).mean(0))
+        log = np.zeros((len(lengths), len(NAMES)))
+        log[:, 1:] = top + np.log(np.exp(each - top).mean(0))
         log += np.log(np.maximum(prior, 1e-12))
-        out = np.exp(log - log.max())
-        return out / out.sum()
+        post = np.exp(log - log.max(1, keepdims=True))
+        return post / post.sum(1, keepdims=True)
 
 
 def strictly_restorable(token: str) -> bool:
@@ -203,7 +223,7 @@ def strictly_restorable(token: str) -> bool:
 
 
 def tokens(documents: DataFrame, key: str, body: str, source: str) -> DataFrame:
-    """(doc_id, source, tokens): the texts' tokens beyond ASCII, for texts that have any."""
+    """(doc_id, source, tokens): the texts' tokens that may be damaged, for texts that have any."""
 
     def cut_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,7 +233,7 @@ def tokens(documents: DataFrame, key: str, body: str, source: str) -> DataFrame:
             yield out.filter(keep)
 
     rows = documents.select(F.col(key).alias("doc_id"), F.coalesce(F.col(source), F.lit("")).alias("source"), F.col(body).alias("text"))
-    return rows.where(r"doc_id IS NOT NULL AND text RLIKE '[^\\x00-\\x7f]'").mapInArrow(cut_tokens, f"doc_id {dict(documents.dtypes)[key]}, source string, tokens array<string>")
+    return rows.where(r"doc_id IS NOT NULL AND text RLIKE '[^\\x00-\\x7f]|[A-Za-z][?][a-z]'").mapInArrow(cut_tokens, f"doc_id {dict(documents.dtypes)[key]}, source string, tokens array<string>")
 
 
 def _spend(weights: dict[str, float], sums: np.ndarray) -> None:
@@ -227,12 +247,6 @@ def _spend(weights: dict[str, float], sums: np.ndarray) -> None:
     weights.clear()
 
 
-def _sums(counts: np.ndarray, schema_names: list[str], doc_type: pa.DataType) -> pa.RecordBatch:
-    at = np.flatnonzero(counts)
-    n = len(at)
-    return pa.RecordBatch.from_arrays([pa.nulls(n, doc_type), pa.nulls(n, pa.string()), pa.nulls(n, pa.list_(pa.float64())), pa.array(at.astype(np.int32)), pa.array(counts[at])], names=schema_names)
-
-
 def _model(rows: DataFrame) -> np.ndarray:
     """The character model's fixed number of counters, summed over all tasks."""
     sums = rows.where("slot IS NOT NULL").groupBy("slot").agg(F.sum("weight").alias("weight")).toPandas()
@@ -241,46 +255,69 @@ def _model(rows: DataFrame) -> np.ndarray:
     return counts
 
 
-def _round(toks: DataFrame, counts: np.ndarray | None, prior: DataFrame | None) -> DataFrame:
-    """One E step: (doc_id, source, posterior) rows, and (slot, weight) rows for the next model."""
+def _step(toks: DataFrame, counts: np.ndarray | None, prior: DataFrame | None, last: bool = False) -> DataFrame:
+    """One E step. Its sums: (slot, weight) rows for the next model and (source, posterior) rows added up; or, at
+    the ``last``, the records: (doc_id, source, posterior)."""
     shared = toks.sparkSession.sparkContext.broadcast(counts)
-    names = ["doc_id", "source", "posterior", "slot", "weight"]
-    flat = np.array([CLEAN, *[(1 - CLEAN) / (len(NAMES) - 1)] * (len(NAMES) - 1)])
-    rows = toks.withColumn("prior", F.lit(None).cast("array<double>")) if prior is None else toks.join(prior, "source", "left")
-
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(PAIRS + 0x10000)
-        model = None if shared.value is None else Model(shared.value)
-        kind, seen, doc_type, weights = {}, False, pa.int64(), {}
-        for batch in batches:
-            seen, doc_type = True, batch.schema.field("doc_id").type
-            posts = []
-            for found, prior_ in zip(batch.column("tokens").to_pylist(), batch.column("prior").to_pylist()):
+    k = len(NAMES)
+    flat = np.array([CLEAN, *[(1 - CLEAN) / (k - 1)] * (k - 1)])
+    lists = pa.list_(pa.float64())
+    rows = toks.withColumn("prior", F.array(*(F.lit(float(x)) for x in flat)))
+    if prior is not None:
+        rows = toks.join(prior, "source", "left").withColumn("prior", F.coalesce("prior", F.array(*(F.lit(float(x)) for x in flat))))
+
+    def posts(batches: Iterator[pa.RecordBatch], model: Model | None):
+        """Per piece of a batch: the batch, its distinct tokens, their weight as clean ones, the posteriors."""
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2000):
+                batch = whole.slice(at, 2000)
+                lengths = np.diff(batch.column("tokens").offsets.to_numpy())
+                coded = batch.column("tokens").flatten().dictionary_encode()
+                ids, own = coded.indices.to_numpy(), coded.dictionary.to_pylist()
                 if model is None:
-                    for t in found:
-                        if t not in kind:
-                            if len(kind) > 200_000:
-                                kind.clear()
-                            kind[t] = not strictly_restorable(t)
-                    clean = [t for t in found if kind[t]]
-                    weight = 1.0
-                else:
-                    post = model.record(found, flat if prior_ is None else np.array(prior_))
-                    posts.append(post)
-                    clean, weight = found, float(post[0])
-                if weight > 0.01:
-                    for t in clean:
-                        weights[t] = weights.get(t, 0.0) + weight
-                    if len(weights) > 100_000:
-                        _spend(weights, sums)
-            if model is not None:
-                n = len(posts)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), pa.array(posts, pa.list_(pa.float64())), pa.nulls(n, pa.int32()), pa.nulls(n, pa.float64())], names=names)
-        if seen:
-            _spend(weights, sums)
-            yield _sums(sums, names, doc_type)
-
-    return rows.mapInArrow(step, f"doc_id {dict(toks.dtypes)['doc_id']}, source string, posterior array<double>, slot int, weight double")
+                    weight = np.bincount(ids, minlength=len(own)) * np.array([not strictly_restorable(t) for t in own], float)
+                    yield batch, own, weight, None
+                    continue
+                post = model.records(ids, lengths, np.stack([model.odds(t) for t in own]), batch.column("prior").flatten().to_numpy().reshape(-1, k))
+                yield batch, own, np.bincount(ids, np.repeat(post[:, 0], lengths), len(own)), post
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, _, _, post in posts(batches, Model(shared.value)):
+            values = pa.ListArray.from_arrays(pa.array(np.arange(len(post) + 1, dtype=np.int32) * k), pa.array(post.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), values], names=["doc_id", "source", "posterior"])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(PAIRS + 0x10000)
+        weights: dict[str, float] = {}
+        per: dict[str, np.ndarray] = {}
+
+        def sources() -> pa.RecordBatch:
+            values = list(per.values())
+            out = [pa.array(list(per), pa.string()), pa.array(values, lists), pa.nulls(len(per), pa.int32()), pa.nulls(len(per), pa.float64())]
+            per.clear()
+            return pa.RecordBatch.from_arrays(out, names=["source", "posterior", "slot", "weight"])
+
+        for batch, own, weight, post in posts(batches, None if shared.value is None else Model(shared.value)):
+            for t, w in zip(own, weight.tolist()):
+                weights[t] = weights.get(t, 0.0) + w
+            if len(weights) > 100_000:
+                _spend(weights, sums)
+            if post is not None:
+                named = batch.column("source").dictionary_encode()
+                own_sums = np.zeros((len(named.dictionary), k))
+                np.add.at(own_sums, named.indices.to_numpy(), post)
+                for name, row in zip(named.dictionary.to_pylist(), own_sums):
+                    per[name] = per[name] + row if name in per else row
+                if len(per) > 10_000:
+                    yield sources()
+        _spend(weights, sums)
+        yield sources()
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.string()), pa.nulls(len(at), lists), pa.array(at.astype(np.int32)), pa.array(sums[at])], names=["source", "posterior", "slot", "weight"])
+
+    if last:
+        return rows.mapInArrow(told, f"doc_id {dict(toks.dtypes)['doc_id']}, source string, posterior array<double>")
+    return rows.mapInArrow(summed, "source string, posterior array<double>, slot int, weight double")
 
 
 def source_weights(posteriors: DataFrame, sizes: DataFrame, pooled: float = 50.0) -> DataFrame:
@@ -300,13 +337,12 @@ def posteriors(documents: DataFrame, rounds: int = ROUNDS, key: str = "doc_id",
     """(doc_id, source, posterior) of every record with characters beyond ASCII, and the last clean model."""
     toks = cut(tokens(documents, key, body, source), "tokens")
     sizes = documents.select(F.coalesce(F.col(source), F.lit("")).alias("source"), F.col(key).alias("k"), F.col(body).alias("b")).where("k IS NOT NULL AND b <> ''").groupBy("source").agg(F.count("*").alias("n"))
-    counts, prior = _model(_round(toks, None, None)), None
-    for at in range(rounds):
-        done = cut(_round(toks, counts, prior), "posteriors")
-        rows = done.where("posterior IS NOT NULL").select("doc_id", "source", "posterior")
-        if at + 1 < rounds:
-            counts, prior = _model(done), cut(source_weights(rows, sizes), "weights")
-    return rows, counts
+    counts, prior = _model(_step(toks, None, None)), None
+    for _ in range(rounds - 1):
+        done = cut(_step(toks, counts, prior), "sums")
+        counts, prior = _model(done), cut(source_weights(done.where("posterior IS NOT NULL"), sizes), "weights")
+        drop_cut(done)
+    return cut(_step(toks, counts, prior, last=True), "posteriors"), counts
 
 
 def garbled(documents: DataFrame, least: float = 0.5, **kw) -> DataFrame:
@@ -348,6 +384,8 @@ def repair_text(text: str, chain: str, model: Model) -> str:
             odds, best = model.restore(token, chain)
             if odds > 0:
                 token = best
+        elif token.isascii():
+            return fill_lost(_ASKED.sub("�", token), model).replace("�", "?")
         return fill_lost(token, model) if "�" in token else token
 
     return _TOKEN.sub(fix, text)

@@ -131,3 +131,19 @@ def test_garbled_records_are_found_and_restored(spark):
     assert fixed[1000].repaired == clean[0][1] and fixed[1001].repaired == clean[1][1] and fixed[1003].repaired == base[0] + ". " + base[1]
     assert fixed[1002].repaired == clean[2][1]
     assert mojibake.garbled(df.limit(0)).count() == 0
+
+
+def test_long_clean_text_does_not_outvote_one_damaged_place(spark):
+    base = ["La forme légère a été relevée à Évreux près d'un château", "Où vivait déjà un sabotier, l'été, au pré de l'abbé", "Prénom formé à l'époque sur une racine très ancienne"]
+    long = ". ".join(base * 150)
+    clean = [(i, base[i % 3] + f" n{i}", "s%d" % (i % 2)) for i in range(240)] + [(500, long, "s0"), (501, "Quoi?Non, dit le clerc.", "s1")]
+    bad = {
+        1000: long.replace("château", "ch�teau", 1),
+        1001: long.replace("légère", "légère".encode().decode("cp1252"), 1),
+        1002: "Le pr?nom form? par l'abb? est tr?s ancien, la forme l?g?re aussi, relev?e pr?s d'un ch?teau",
+    }
+    df = spark.createDataFrame(clean + [(k, v, "s0") for k, v in bad.items()], "doc_id bigint, text string, source string")
+    fixed = {r.doc_id: r.repaired for r in mojibake.repaired(df).collect()}
+    assert set(fixed) == set(bad)
+    assert fixed[1000] == long and fixed[1001] == long
+    assert "légère" in fixed[1002] and "château" in fixed[1002]
