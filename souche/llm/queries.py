@@ -19,14 +19,15 @@ def _texts(s: SparkSession, d: str) -> DataFrame:
 def queries() -> dict:
     return {
         "p1_found": lambda s, d: repetition.repetitive(read(s, d, "prenoms_final")),
-        "p1_shares": lambda s, d: repetition.repetition(read(s, d, "prenoms_final")),
+        "p1_shares": lambda s, d: repetition.repetition(read(s, d, "prenoms_final")).withColumn("share", F.round("share", 9)),
+        "p1_distances": lambda s, d: repetition.divergence(read(s, d, "prenoms_final")),
         "p2_found": lambda s, d: components.name_groups(read(s, d, "noms_clean"), read(s, d, "prenoms_clean")),
         "p3_found": lambda s, d: distinctive.typical_terms(read(s, d, "noms_clean"), "id", "origine"),
         "p3_scores": lambda s, d: distinctive.scored_terms(read(s, d, "noms_clean"), "id", "origine"),
         "p4_found": lambda s, d: neardup.near_pairs(_texts(s, d), SIMILAR_WORDS),
         "p4_groups": lambda s, d: neardup.near_groups(_texts(s, d), SIMILAR_WORDS),
         "p6_found": lambda s, d: vectors.similar_pairs(read(s, d, "prenoms_vecteurs"), 0.8, 5),
-        "p6_neighbours": lambda s, d: vectors.neighbours(read(s, d, "prenoms_vecteurs"), 5),
+        "p6_neighbours": lambda s, d: vectors.neighbours(read(s, d, "prenoms_vecteurs"), 5).withColumn("similarity", F.round("similarity", 6)),
         "p7_found": lambda s, d: contamination.leaks(read(s, d, "documents"), read(s, d, "items_eval")).select("doc_id", "item_id"),
         "p7_items": lambda s, d: contamination.leaked_items(read(s, d, "documents"), read(s, d, "items_eval")),
         "p8_mix": lambda s, d: mixture.chosen(read(s, d, "documents"), read(s, d, "sources_cibles")),
@@ -52,6 +53,16 @@ def _p4_side(genre: str, table: str, column: str) -> str:
         SELECT DISTINCT '{genre}' AS genre, id, {column} AS body, {_WORDS.format(column)} AS w FROM {table} WHERE {column} <> ''"""
 
 
+_P1 = f"""WITH t AS (
+              SELECT DISTINCT id, champ, {_WORDS.format("body")} AS w FROM (
+                SELECT id, 'histoire' AS champ, histoire AS body FROM prenoms_final
+                UNION ALL SELECT id, 'etymologie', etymologie FROM prenoms_final
+                UNION ALL SELECT id, 'signification', signification FROM prenoms_final) WHERE trim(body) <> ''),
+            g AS (SELECT id, champ, w, unnest(range(1, greatest(len(w) - 2, 1))) AS i FROM t),
+            h AS (SELECT id, champ, w, len(w) AS n, i, row_number() OVER (PARTITION BY id, champ, w, w[i], w[i+1], w[i+2], w[i+3] ORDER BY i) AS r FROM g),
+            p AS (SELECT DISTINCT id, champ, w, n, i + k AS at FROM h, (SELECT unnest(range(4)) AS k) WHERE r > 1)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": f"""
@@ -64,6 +75,10 @@ def oracle_sql() -> dict[str, str]:
             h AS (SELECT id, champ, len(w) AS n, i, row_number() OVER (PARTITION BY id, champ, w[i], w[i+1], w[i+2], w[i+3] ORDER BY i) AS r FROM g),
             p AS (SELECT DISTINCT id, champ, n, i + k AS at FROM h, (SELECT unnest(range(4)) AS k) WHERE r > 1)
             SELECT id, champ FROM p GROUP BY id, champ, n HAVING count(*) >= 0.4 * n""",
+        "p1_shares": f"""
+            {_P1}, c AS (SELECT id, champ, w, count(*) AS k FROM p GROUP BY id, champ, w)
+            SELECT DISTINCT t.id, t.champ, len(t.w)::INT AS n_words, coalesce(k, 0)::INT AS repeated, round(CASE WHEN len(t.w) > 0 THEN coalesce(k, 0) / len(t.w) ELSE 0 END, 9) AS share
+            FROM t LEFT JOIN c ON c.id = t.id AND c.champ = t.champ AND c.w = t.w""",
         "p2_found": f"""
             WITH RECURSIVE e AS ({_p2_side("nom", "noms_clean", "nom", "noms_lies", "-")}
               UNION {_p2_side("prenom", "prenoms_clean", "prenom", "prenoms_lies", "[-''’]")}),
@@ -89,6 +104,11 @@ def oracle_sql() -> dict[str, str]:
             s AS (SELECT a.pos AS p, b.pos AS q, round(list_dot_product(a.e, b.e), 12) AS sim FROM v a JOIN v b ON a.pos <> b.pos),
             r AS (SELECT p, q, sim, row_number() OVER (PARTITION BY p ORDER BY sim DESC, q) AS k FROM s)
             SELECT DISTINCT least(p, q) AS pos_a, greatest(p, q) AS pos_b FROM r WHERE k <= 5 AND sim >= 0.8""",
+        "p6_neighbours": """
+            WITH v AS (SELECT DISTINCT pos, embedding::DOUBLE[] AS e FROM prenoms_vecteurs WHERE embedding IS NOT NULL),
+            s AS (SELECT a.pos AS p, b.pos AS q, round(list_dot_product(a.e, b.e), 12) AS sim FROM v a JOIN v b ON a.pos <> b.pos),
+            r AS (SELECT p, q, sim, row_number() OVER (PARTITION BY p ORDER BY sim DESC, q) AS k FROM s)
+            SELECT p AS pos, q AS other, round(sim, 6) AS similarity, k::INT AS rank FROM r WHERE k <= 5""",
         "p7_found": f"""
             WITH i AS (SELECT item_id, {_WORDS.format("texte")} AS w FROM items_eval),
             g AS (SELECT DISTINCT item_id, w[k:k+11] AS run FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 1))) AS k FROM i) WHERE len(w) >= 12),

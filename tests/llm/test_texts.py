@@ -7,6 +7,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from souche.functions.text import words_py
 from souche.llm import contamination, mixture, mojibake, repetition
 
@@ -36,15 +38,18 @@ def test_repetitive_rows(spark):
     df = spark.createDataFrame([(*r, 1, "clash") for r in rows], "id string, histoire string, etymologie string, signification string, share int, champ string")
     assert {tuple(r) for r in repetition.repetitive(df).collect()} == {("a", "histoire"), ("b", "signification")}
     got = {(r.id, r.champ): r for r in repetition.repetition(df).collect()}
-    assert got["b", "etymologie"].js_words is None and got["a", "histoire"].share == pytest.approx(0.5) and 0 <= got["b", "histoire"].js_words <= 1
+    far = {(r.id, r.champ): r for r in repetition.divergence(df.withColumn("langue", F.when(F.col("id") == "a", "FR "))).collect()}
+    assert far["b", "etymologie"].js_words is None and got["a", "histoire"].share == pytest.approx(0.5) and 0 <= far["b", "histoire"].js_words <= 1
+    assert far["a", "histoire"].langue == "fr" and far["a", "histoire"].js_words == pytest.approx(0) and len(far) == len(got)
     assert repetition.repetitive(df.limit(0)).count() == 0
 
 
 def test_a_text_said_twice_keeps_its_distances(spark):
     body = "La forme ancienne du nom vient du latin et se lit dans un acte daté de la ville"
     df = spark.createDataFrame([("a", body, "", ""), ("b", body + " " + body, "", "")], "id string, histoire string, etymologie string, signification string")
-    rows = {r.id: r for r in repetition.repetition(df).collect()}
-    assert rows["a"].js_words == pytest.approx(rows["b"].js_words) and rows["a"].share == 0 and rows["b"].share == 0.5
+    rows = {r.id: r for r in repetition.divergence(df.withColumn("langue", F.lit(None).cast("string"))).collect()}
+    share = {r.id: r.share for r in repetition.repetition(df).collect()}
+    assert rows["a"].js_words == pytest.approx(rows["b"].js_words) and share == {"a": 0, "b": 0.5}
 
 
 def test_leaks_equal_brute_force(spark):
@@ -69,6 +74,7 @@ def test_leaks_equal_brute_force(spark):
     texts = dict(docs)
     for r in got:
         assert len(words_py(texts[r.doc_id][r.start : r.end])) == r.run_words >= 12
+    assert {tuple(r) for r in contamination.leaks(left, right, most_items=3, most_words=60).collect()} == {tuple(r) for r in got}
     assert contamination.leaks(left, right.limit(0)).count() == 0 and contamination.leaks(left.limit(0), right).count() == 0
 
 
