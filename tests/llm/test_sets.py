@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,16 +61,23 @@ def test_two_poisson_tells_the_elite():
 
 
 def test_posterior_never_drops_a_case():
-    """Counts of three and more in 2 to 12 of at least a few dozen records are always elite."""
+    """Counts of three and more in 2 to 12 of at least a few dozen records are always elite, however often others hold the term."""
     rng = np.random.default_rng(5)
-    for _ in range(400):
-        total = int(rng.integers(40, 100_000))
-        held = rng.integers(1, 9, int(rng.integers(2, 13)))
-        counts = np.array([0, *sorted(set(held.tolist()))], dtype=float)
-        hist = np.array([[total - len(held), *(int((held == c).sum()) for c in counts[1:])]], dtype=float)
-        share, low, high = distinctive.two_poisson(hist, counts)
-        post = distinctive.posterior(counts, share, low, high)
-        assert all(p >= 0.5 for c, p in zip(counts, post) if c >= 3), (total, held)
+    tfs, ns, totals = [], [], []
+    for _ in range(3000):
+        held = Counter(rng.integers(1, int(rng.choice([4, 9, 60, 3000])), int(rng.integers(2, 13))).tolist())
+        tfs.append(sorted(held))
+        ns.append([held[c] for c in sorted(held)])
+        totals.append(int(rng.integers(40, 100_000_000)))
+    for t, total, scores in zip(tfs, totals, distinctive._fit_batch(pd.Series(tfs), pd.Series(ns), pd.Series(totals))):
+        assert all(p >= 0.5 for c, p in zip(t, scores) if c >= 3), (total, t, scores)
+
+
+def test_a_hot_term_is_scored_like_others(spark):
+    rows = [(f"r{i}", " ".join(["de"] * (1 + i % 3) + [f"mot{i % 7}"])) for i in range(90)]
+    df = spark.createDataFrame(rows, "id string, origine string")
+    plain = {tuple(r) for r in distinctive.scored_terms(df, "id", "origine").collect()}
+    assert {tuple(r) for r in distinctive.scored_terms(df, "id", "origine", hot_share=0.1, hot_least=10).collect()} == plain and len(plain) == 180
 
 
 def test_typical_terms(spark):
