@@ -4,9 +4,10 @@ Method: one Aho-Corasick automaton over the normalised evaluation items: every r
 ``least`` consecutive words of every item is a pattern, all in one automaton, and each text is
 normalised and scanned once. A match maps back to the characters of the original text.
 
-The items are the bounded side (held-out sets are small and fixed; ``most_items`` rows and
-``most_words`` words are checked before anything is built), the corpus only streams past: no
-shuffle at all. Tasks build the automaton once per Python worker from the broadcast patterns.
+The items are the small side (held-out sets are small and fixed), the corpus only streams past: no
+shuffle of texts. Items are counted before anything is built: beyond ``most_items`` items or ``most_words``
+words they are divided into lots by hash, each with an automaton of that size and a pass over
+the corpus of its own, so nothing broadcast grows. A Python worker builds an automaton once and keeps it for its tasks.
 
 Defined edge cases: null and empty texts leak nothing; an item of fewer than ``least`` words
 cannot be found; repeated items and repeated passages give one row per document and item (the
@@ -17,7 +18,9 @@ side gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import unicodedata
+import uuid
 from collections.abc import Iterator
+from functools import partial
 
 import ahocorasick
 import pyarrow as pa
@@ -30,6 +33,9 @@ LEAST_WORDS = 12
 MOST_ITEMS = 100_000
 MOST_WORDS = 5_000_000
 
+#: the automaton a worker built last, by its lot
+_BUILT: dict = {}
+
 
 def patterns(items: list[tuple[int, str]], least: int = LEAST_WORDS) -> dict[str, list[tuple[int, int]]]:
     """Runs of ``least`` words, blank-delimited, with the (item, first word) they stand for."""
@@ -70,21 +76,21 @@ def original_words(body: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in spans]
 
 
-def leaks(documents: DataFrame, items: DataFrame, doc: str = "doc_id", body: str = "text", item: str = "item_id", item_body: str = "texte", least: int = LEAST_WORDS) -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, doc: str = "doc_id", body: str = "text", item: str = "item_id", item_body: str = "texte", least: int = LEAST_WORDS, most_items: int = MOST_ITEMS, most_words: int = MOST_WORDS) -> DataFrame:
     """(doc_id, item_id, run_words, start, end): documents holding ``least`` or more consecutive words of an item.
 
     run_words is the longest run of the item's consecutive words in the document; start and end are its characters.
     """
     held = items.select(F.col(item).alias("i"), F.col(item_body).alias("t")).where("i IS NOT NULL AND t IS NOT NULL").distinct()
     size = held.agg(F.count("*"), F.sum(F.size(F.split("t", " ")))).first()
-    if size[0] > MOST_ITEMS or (size[1] or 0) > MOST_WORDS:
-        raise ValueError(f"{size[0]} items, {size[1]} words: split the items over several calls")
-    rows = [(r.i, r.t) for r in held.collect()]
-    shared = documents.sparkSession.sparkContext.broadcast(rows)
+    lots = max(1, -(-size[0] // most_items), -(-(size[1] or 0) // most_words))
     kind = dict(items.dtypes)[item]
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = automaton(patterns(shared.value, least))
+    def scan(name: str, shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if name not in _BUILT:
+            _BUILT.clear()
+            _BUILT[name] = automaton(patterns(shared.value, least))
+        machine = _BUILT[name]
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -123,7 +129,11 @@ def leaks(documents: DataFrame, items: DataFrame, doc: str = "doc_id", body: str
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
     source = documents.select(F.col(doc).alias("doc_id"), F.col(body).alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
-    found = source.mapInArrow(scan, f"doc_id {dict(documents.dtypes)[doc]}, item_id {kind}, run_words int, start int, end int")
+    found = None
+    for lot in range(lots):
+        rows = [(r.i, r.t) for r in held.where(F.pmod(F.xxhash64("i", "t"), F.lit(lots)) == lot).collect()]
+        part = source.mapInArrow(partial(scan, uuid.uuid4().hex, documents.sparkSession.sparkContext.broadcast(rows)), f"doc_id {dict(documents.dtypes)[doc]}, item_id {kind}, run_words int, start int, end int")
+        found = part if found is None else found.unionByName(part)
     best = F.max(F.struct("run_words", (-F.col("start")).alias("minus"), (-F.col("end")).alias("minus_end"))).alias("best")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", F.col("best.run_words").alias("run_words"), (-F.col("best.minus")).alias("start"), (-F.col("best.minus_end")).alias("end"))
 

@@ -26,6 +26,7 @@ import base64
 from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import tiktoken
@@ -90,26 +91,31 @@ def fit_counts(lengths: list[int], counts: list[int], budget: int) -> list[int]:
 
 
 def bounded_knapsack(lengths: list[int], spare: list[int], budget: int) -> dict[int, int]:
-    """{index: copies} with the largest total not over ``budget``; sets of reachable totals are bits of integers."""
+    """{index: copies} with the largest total not over ``budget``.
+
+    Per total only the step that first reached it is kept (so memory is the budget's, whatever the number of steps).
+    """
     if budget <= 0:
         return {}
-    mask = (1 << (budget + 1)) - 1
-    reach, steps = 1, []
+    first = np.full(budget + 1, -1, np.int32)  # -1: not reached
+    first[0] = 0
+    steps = [(0, 0)]
     for i, (n, k) in enumerate(zip(lengths, spare)):
         k, size = min(k, budget // n), 1
-        while k > 0:
+        while k > 0 and first[budget] < 0:
             size = min(size, k)
-            steps.append((i, size, reach))
-            reach |= (reach << (n * size)) & mask
+            steps.append((i, size))
+            new = np.flatnonzero((first[: budget + 1 - n * size] >= 0) & (first[n * size :] < 0)) + n * size
+            first[new] = len(steps) - 1
             k -= size
             size *= 2
-        if reach >> budget & 1:
+        if first[budget] >= 0:
             break
-    at, out = reach.bit_length() - 1, {}
-    for i, size, before in reversed(steps):
-        if not before >> at & 1:
-            out[i] = out.get(i, 0) + size
-            at -= lengths[i] * size
+    at, out = int(np.flatnonzero(first >= 0)[-1]), {}
+    while at:
+        i, size = steps[first[at]]
+        out[i] = out.get(i, 0) + size
+        at -= lengths[i] * size
     return out
 
 
