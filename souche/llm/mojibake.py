@@ -227,7 +227,7 @@ def tokens(documents: DataFrame, key: str, body: str, source: str) -> DataFrame:
 
     def cut_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_TOKEN.findall(t) for t in batch.column("text").to_pylist()]
+            found = [[w for w in t.replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" ") if not w.isascii() or ("?" in w and _ASKED.search(w))] for t in batch.column("text").to_pylist()]
             keep = pa.array([bool(f) for f in found], pa.bool_())
             out = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("source"), pa.array(found, pa.list_(pa.string()))], names=["doc_id", "source", "tokens"])
             yield out.filter(keep)
