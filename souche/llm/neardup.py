@@ -19,7 +19,8 @@ The regions here are made by words instead of pivots, and split recursively and
 3. A region is joined from one sorted shuffle, in a vectorised sweep: lengths, misses so far and
    a 256-bit parity of the words (its difference is never more than the words' difference)
    leave few pairs. A region over ``region_rows`` rows goes on to the pivots, whose regions
-   join in salted blocks.
+   join in salted blocks; regions that hold a great share of all texts go there without the shuffle.
+   ``depth`` does not grow with n: each level multiplies a text's regions by its misses, where pivots cost no more.
 4. Pairs are checked exactly on the words, then spread over the ids that hold the texts.
 
 Defined edge cases: null and empty texts and texts without words have no partner; repeated
@@ -49,6 +50,7 @@ MASK = (1 << 64) - 1
 CROWD = 800
 DEPTH = 3
 REGION_ROWS = 5000
+GIANT_SAMPLE, GIANT_SHARE = 4096, 0.01
 
 TOKENS = "genre string, text_key string, sig binary, n int, words array<bigint>, mults array<int>"
 REGIONS = "region bigint, sig binary, n int, miss int, parity binary"
@@ -145,9 +147,8 @@ def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     return column.offsets.to_numpy(), column.values.to_numpy()
 
 
-def regions(toks: DataFrame, least: float, crowd: float, depth: int) -> DataFrame:
-    sketch, texts = word_sketch(toks)
-    shared = toks.sparkSession.sparkContext.broadcast(sketch)
+def regions(toks: DataFrame, shared, texts: int, least: float, crowd: float, depth: int) -> DataFrame:
+    """REGIONS rows: each text in all its regions; ``shared`` is the broadcast word sketch."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
@@ -172,6 +173,19 @@ def regions(toks: DataFrame, least: float, crowd: float, depth: int) -> DataFram
     return toks.select("genre", "sig", "n", "words", "mults").mapInArrow(place, REGIONS)
 
 
+def crowded_regions(toks: DataFrame, shared, texts: int, least: float, crowd: float, depth: int, most: int) -> DataFrame:
+    """Regions that hold a great share of all texts, as seen from those of ``GIANT_SAMPLE`` of them.
+
+    This only decides where work is placed: their rows go to the pivots without passing through one task. A region over
+    ``most`` that is not seen here is found, and passed on, where it is joined. At most 1 / GIANT_SHARE such regions for each
+    region of a text: a small table.
+    """
+    few = toks.where(F.pmod(F.xxhash64("sig"), F.lit(1_000_000)) < math.ceil(1_000_000 * min(1.0, GIANT_SAMPLE / max(texts, 1))))
+    seen = regions(few, shared, texts, least, crowd, depth).groupBy("region").agg(F.count_distinct("sig").alias("n"))
+    share = max(GIANT_SHARE, 4 * most / max(texts, 1))
+    return cut(seen.where(F.col("n") > share * min(texts, GIANT_SAMPLE)).select("region"), "giants")
+
+
 def _sweep(region, n, miss, bits, least) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of rows in one region that may be similar; rows are sorted by region and length."""
     left, right = [], []
@@ -281,16 +295,27 @@ def verify(pairs: DataFrame, toks: DataFrame, least: float) -> DataFrame:
     return rows.mapInArrow(measure, "a binary, b binary, similarity double")
 
 
-def similar_texts(texts: DataFrame, least: float = 0.8, crowd: float = CROWD, depth: int = DEPTH, most: int = REGION_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Of (genre, text): the tokens table, and (a, b, similarity) over signatures of word multisets."""
+def similar_texts(texts: DataFrame, least: float = 0.8, crowd: float = CROWD, depth: int = DEPTH, most: float = REGION_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Of (genre, text): the tokens table, and (a, b, similarity) over signatures of word multisets.
+
+    ``most`` under 1 is a share of the texts.
+    """
     from souche.llm.voronoi import join_wide
 
     toks = cut(tokens(texts.where("text <> ''")), "tokens")
-    found = cut(join_regions(regions(toks, least, crowd, depth), least, most), "candidates")
+    sketch, count = word_sketch(toks)
+    shared = toks.sparkSession.sparkContext.broadcast(sketch)
+    most = int(most) if most >= 1 else max(10, int(most * count))
+    rows = regions(toks, shared, count, least, crowd, depth)
+    giants = crowded_regions(toks, shared, count, least, crowd, depth, most)
+    giant = not giants.isEmpty()
+    found = cut(join_regions(rows.join(F.broadcast(giants), "region", "left_anti") if giant else rows, least, most), "candidates")
     pairs = found.where("b IS NOT NULL").select("a", "b")
     wide = found.where("b IS NULL").select("region", F.col("a").alias("sig"), "n", "miss", "parity")
+    if giant:
+        wide = wide.unionByName(rows.join(F.broadcast(giants), "region", "left_semi").select("region", "sig", "n", "miss", "parity"))
     if not wide.isEmpty():
-        pairs = pairs.unionByName(join_wide(wide, toks, least, most))
+        pairs = pairs.unionByName(join_wide(wide, toks, least, most, block=REGION_ROWS))
     # texts of one signature have one row here: any of them stands for the same words
     one = toks.groupBy("sig").agg(F.first("words").alias("words"), F.first("mults").alias("mults")) if _has_twins(toks) else toks
     return toks, verify(pairs.distinct(), one, least)
@@ -300,10 +325,13 @@ def _has_twins(toks: DataFrame) -> bool:
     return not toks.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
 
 
-def near_pairs(records: DataFrame, least: float = 0.8) -> DataFrame:
-    """(genre, id_a, id_b), id_a < id_b, of (genre, id, text): ids whose differing texts are similar."""
+def near_pairs(records: DataFrame, least: float = 0.8, **regions_of) -> DataFrame:
+    """(genre, id_a, id_b), id_a < id_b, of (genre, id, text): ids whose differing texts are similar.
+
+    ``regions_of``: crowd, depth and most, as in ``similar_texts``; they move work between regions and pivots, not the result.
+    """
     held = records.where("id IS NOT NULL AND text <> ''")
-    toks, similar = similar_texts(held.select("genre", "text"), least)
+    toks, similar = similar_texts(held.select("genre", "text"), least, **regions_of)
     keys = toks.select("genre", "text_key", "sig")
     ids = held.select("genre", "id", F.md5("text").alias("text_key")).distinct()
     # signatures tied to another, and those of several texts: only their ids are ever paired

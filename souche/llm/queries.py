@@ -9,6 +9,8 @@ from souche.llm import components, contamination, distinctive, mixture, mojibake
 from souche.session import read
 
 SIMILAR_WORDS = 0.7
+# regions of one word, and pivots for those that hold over this share of the texts: the same pairs by the pivots' path
+PIVOTS_EARLY = {"depth": 1, "most": 0.005}
 
 
 def _texts(s: SparkSession, d: str) -> DataFrame:
@@ -25,6 +27,7 @@ def queries() -> dict:
         "p3_found": lambda s, d: distinctive.typical_terms(read(s, d, "noms_clean"), "id", "origine"),
         "p3_scores": lambda s, d: distinctive.scored_terms(read(s, d, "noms_clean"), "id", "origine"),
         "p4_found": lambda s, d: neardup.near_pairs(_texts(s, d), SIMILAR_WORDS),
+        "p4_pivots": lambda s, d: neardup.near_pairs(_texts(s, d), SIMILAR_WORDS, **PIVOTS_EARLY),
         "p4_groups": lambda s, d: neardup.near_groups(_texts(s, d), SIMILAR_WORDS),
         "p6_found": lambda s, d: vectors.similar_pairs(read(s, d, "prenoms_vecteurs"), 0.8, 5),
         "p6_neighbours": lambda s, d: vectors.neighbours(read(s, d, "prenoms_vecteurs"), 5).withColumn("similarity", F.round("similarity", 6)),
@@ -64,7 +67,7 @@ _P1 = f"""WITH t AS (
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    out = {
         "p1_found": f"""
             WITH t AS (
               SELECT DISTINCT id, champ, {_WORDS.format("body")} AS w FROM (
@@ -116,3 +119,5 @@ def oracle_sql() -> dict[str, str]:
             h AS (SELECT DISTINCT doc_id, w[k:k+11] AS run FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 10, 1))) AS k FROM d WHERE len(w) >= 12))
             SELECT DISTINCT doc_id, item_id FROM h JOIN g USING (run)""",
     }
+    out["p4_pivots"] = out["p4_found"]
+    return out

@@ -39,20 +39,36 @@ def distances(rows: DataFrame, toks: DataFrame, pivots: int, seed: int) -> DataF
     chosen = pick_pivots(rows, pivots, seed).join(toks.select("sig", "words", "mults"), "sig")
     packed = chosen.groupBy("region").agg(F.collect_list(F.struct("sig", "words", "mults")).alias("pivots"))
     near = rows.join(toks.select("sig", "words", "mults"), "sig").join(packed, "region")
+    kind = pa.struct([("pivot", pa.binary()), ("d", pa.float64())])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = ["region", "sig", "n", "miss", "parity"]
-            out = []
-            for words, mults, given in zip(*(batch.column(c).to_pylist() for c in ("words", "mults", "pivots"))):
-                own = dict(zip(words, mults))
-                size, row = sum(mults), []
-                for p in given:
-                    both = sum(min(k, own.get(w, 0)) for w, k in zip(p["words"], p["mults"]))
-                    row.append({"pivot": p["sig"], "d": 1 - both / (size + sum(p["mults"]) - both)})
-                out.append(row)
-            kind = pa.list_(pa.struct([("pivot", pa.binary()), ("d", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(out, kind)], names=[*keep, "to"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2000):
+                batch = whole.slice(at, 2000)
+                lists = batch.column("words")
+                row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+                words, mults = lists.flatten().to_numpy(), batch.column("mults").flatten().to_numpy()
+                size = np.bincount(row, mults, batch.num_rows)
+                region, given = batch.column("region").to_numpy(), batch.column("pivots")
+                parts, at_row = [], []
+                for r in np.unique(region):
+                    inside = np.flatnonzero(region == r)
+                    own = np.isin(row, inside)
+                    w, m, who = words[own], mults[own], row[own]
+                    for p in given[int(inside[0])]:
+                        pw, pm = p["words"].values.to_numpy(), p["mults"].values.to_numpy()
+                        place = np.minimum(np.searchsorted(pw, w), len(pw) - 1)
+                        hit = pw[place] == w
+                        both = np.bincount(who[hit], np.minimum(m[hit], pm[place[hit]]), batch.num_rows)[inside]
+                        far = 1 - both / (size[inside] + pm.sum() - both)
+                        parts.append(pa.StructArray.from_arrays([pa.array([p["sig"].as_py()] * len(inside), pa.binary()), pa.array(far)], fields=list(kind)))
+                        at_row.append(inside)
+                at_row = np.concatenate(at_row)
+                order = np.argsort(at_row, kind="stable")
+                ends = np.concatenate([[0], np.cumsum(np.bincount(at_row, minlength=batch.num_rows))]).astype(np.int32)
+                to = pa.ListArray.from_arrays(pa.array(ends), pa.concat_arrays(parts).take(pa.array(order)))
+                keep = ["region", "sig", "n", "miss", "parity"]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), to], names=[*keep, "to"])
 
     return near.mapInArrow(measure, "region bigint, sig binary, n int, miss int, parity binary, to array<struct<pivot binary, d double>>")
 
@@ -66,8 +82,8 @@ def split(rows: DataFrame, toks: DataFrame, least: float, pivots: int = PIVOTS,
     return placed.select(F.xxhash64("region", F.col("p.pivot")).alias("region"), "sig", "n", "miss", "parity", (F.col("p.pivot") == F.col("near.pivot")).alias("home"))
 
 
-def join_wide(rows: DataFrame, toks: DataFrame, least: float, most: int, pivots: int = PIVOTS, rounds: int = ROUNDS) -> DataFrame:
-    """(a, b): candidate pairs of regions too large for one task."""
+def join_wide(rows: DataFrame, toks: DataFrame, least: float, most: int, pivots: int = PIVOTS, rounds: int = ROUNDS, block: int | None = None) -> DataFrame:
+    """(a, b): candidate pairs of regions over ``most`` rows; what stays large is joined in blocks of ``block`` (else ``most``)."""
     one = toks.groupBy("sig").agg(F.first("words").alias("words"), F.first("mults").alias("mults"))
     rows = rows.groupBy("region", "sig").agg(F.first("n").alias("n"), F.min("miss").alias("miss"), F.first("parity").alias("parity"))
     rows = rows.withColumn("home", F.lit(True))
@@ -86,7 +102,7 @@ def join_wide(rows: DataFrame, toks: DataFrame, least: float, most: int, pivots:
             break
         rows = parts
     done = rows if done is None else done.unionByName(rows)
-    return salted_pairs(cut(done, "blocks"), least, most)
+    return salted_pairs(cut(done, "blocks"), least, block or most)
 
 
 def salted_pairs(rows: DataFrame, least: float, most: int) -> DataFrame:

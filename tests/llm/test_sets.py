@@ -158,3 +158,17 @@ def test_voronoi_windows_lose_no_pair(spark):
                 if both / (sum(one[a].values()) + sum(one[b].values()) - both) >= 0.7:
                     want.add((a, b))
     assert exact == want
+
+
+def test_crowded_regions_go_to_the_pivots_unjoined(spark, monkeypatch):
+    """A third of all texts are near copies: their regions are seen beforehand, and the pairs stay those of brute force."""
+    rng = random.Random(8)
+    hot = [f"m{k}" for k in range(12)]
+    rows = [("nom", f"h{i:03}", " ".join([*hot, f"x{i}"])) for i in range(60)] + [("nom", f"r{i:03}", " ".join(f"w{rng.randrange(400)}" for _ in range(12))) for i in range(120)]
+    monkeypatch.setattr(neardup, "GIANT_SHARE", 0.05)
+    seen = []
+    plain = neardup.crowded_regions
+    monkeypatch.setattr(neardup, "crowded_regions", lambda *a: seen.append(plain(*a)) or seen[-1])
+    df = spark.createDataFrame(rows, "genre string, id string, text string")
+    got = {tuple(r) for r in neardup.near_pairs(df, 0.7, depth=1, most=10).collect()}
+    assert got == similar(rows, 0.7) and seen[0].count() > 0
