@@ -7,7 +7,7 @@ folded words; the first label of a list that occurs wins.
 from __future__ import annotations
 
 import re
-from functools import reduce
+from functools import cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -73,6 +73,10 @@ GRAMMAR_WORDS = set("des les une un du de la le aux au ses ces mes tes nos vos l
 NOT_NAMES = set("france europe afrique asie egypte rome paris saint sainte dieu bible coran islam christianisme janvier fevrier mars avril mai juin juillet aout septembre octobre novembre decembre lundi mardi mercredi jeudi vendredi samedi dimanche bretagne alsace normandie provence nord sud est ouest".split())
 LINK_STOPWORDS = "etant dont qui que les des une son ses par sur est pas plus tout cette dans pour avec comme mais donc car ainsi aussi tres saint sainte saints saintes".split()
 ENUMERATION_ORIGINS = "anglaise espagnole italienne allemande latine bretonne occitane catalane portugaise polonaise russe scandinave".split()
+ENUMERATION_SIGNALS = ["a donne", "a donne aussi", "a donne egalement", "se decline en", "se decline aussi en", "se decline egalement en", "tel que", "tels que", "telle que", "telles que"]
+SIGNALS_BEFORE_CAPITAL = ["comme", "notamment", "entre"]
+JOINING_WORDS = ["et", "ou", "and", "or", "puis"]
+PARTICLES = ["Da", "De", "Di", "Do", "Du", "Des", "La", "Le", "Las", "Les", "Van", "Von", "Del", "Della", "Af", "O'", "Mac", "Moc", "San", "Son", "Santa", "Sonta"]
 # End of the fixed values.
 
 LEFT, RIGHT = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
@@ -80,15 +84,18 @@ LEFT, RIGHT = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 
 def first_label(col: Column, labels: list[tuple[str, str]]) -> Column:
     """The first label whose words occur whole in the text; '' if none does."""
-    body = T.squeeze(T.fold(col))
-    return F.coalesce(*(F.when(body.rlike(f"{LEFT}(?:{words}){RIGHT}"), label) for label, words in labels), F.lit(""))
+    def pick(body: Column) -> Column:
+        return F.coalesce(*(F.when(body.rlike(f"{LEFT}(?:{words}){RIGHT}"), label) for label, words in labels), F.lit(""))
+
+    return T.bound(T.squeeze(T.fold(col)), pick)
 
 
 def bag_label(col: Column, labels: list[str]) -> Column:
     """The first label all of whose words are among the text's words."""
-    words = T.words(col)
-    wanted = [(label, F.array(*(F.lit(w) for w in T.words_py(label)))) for label in labels]
-    return F.coalesce(*(F.when(F.size(F.array_except(need, words)) == 0, label) for label, need in wanted), F.lit(""))
+    def pick(words: Column) -> Column:
+        return F.coalesce(*(F.when(reduce(lambda a, b: a & b, (F.array_contains(words, w) for w in T.words_py(label))), label) for label in labels), F.lit(""))
+
+    return T.bound(T.words(col), pick)
 
 
 def multi_labels(col: Column, labels: dict[str, list[str]]) -> Column:
@@ -163,7 +170,7 @@ def candidates(col: Column, first_name: bool = False) -> Column:
     if first_name:
         kinds = [r"(?<![\p{L}\p{N}_-])(\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)+)(?![\p{L}\p{N}_])", r"(?<![\p{L}\p{N}_])(\p{Lu}\p{Ll}{2,})(?![\p{L}\p{N}_])", r"[`*_]([\p{L}-]{2,})[`*_]"]
     else:
-        particle = r"D[aeiou]|Des|L[ae]s?|V[ao]n|Del(?:la)?|Af|O'|M[ao]c|S[ao]n(?:ta)?"
+        particle = "|".join(PARTICLES)
         kinds = [r"(?<![\p{L}\p{N}_])(\p{Lu}[\p{L}-]+)(?![\p{L}\p{N}_])", r"[`*_\"']([\p{L}-]{2,})[`*_\"']", rf"(?<![\p{{L}}\p{{N}}_])((?:{particle})\s+\p{{Lu}}[\p{{L}}-]+(?:\s+\p{{Lu}}[\p{{L}}-]+)?)(?![\p{{L}}\p{{N}}_])"]
     found = F.concat(*(F.regexp_extract_all(col, F.lit(k), 1) for k in kinds))
     key = T.first_name_key if first_name else T.surname_key
@@ -190,31 +197,48 @@ def close_names(name: Column, col: Column, first_name: bool = False) -> Column:
     return out
 
 
-_SIGNAL = re.compile(
-    r"(?:a\s+donn[eé](?:\s+(?:aussi|[eé]galement))?|se\s+d[eé]cline(?:\s+(?:aussi|[eé]galement))?\s+en|tel(?:s|les?)?\s+que|(?:%s)s?\s*:"
-    r"|(?:comme|notamment|entre)(?=\s+(?-i:[^\W\d_])))\s+" % "|".join(ENUMERATION_ORIGINS), re.IGNORECASE,
-)
-_ITEM = re.compile(r"[^\W\d_][\w-]{1,19}")
-_JOINT = re.compile(r"\s*[,;]\s*(?:(?:et|ou|and|or|puis)\s+)?|\s+(?:et|ou|and|or|puis)\s+", re.IGNORECASE)
+_PIECE = re.compile(r"[^\W\d_][\w-]*|\S")
+
+
+@cache
+def _signals() -> dict[str, list[tuple[list[str], bool]]]:
+    """First word -> (words that announce a list, whether a capital must follow), the longest first."""
+    out: dict[str, list[tuple[list[str], bool]]] = {}
+    plain = [(s.split(), False) for s in ENUMERATION_SIGNALS] + [([o + s, ":"], False) for o in ENUMERATION_ORIGINS for s in ("", "s")]
+    for words, capital in sorted(plain + [([s], True) for s in SIGNALS_BEFORE_CAPITAL], key=lambda x: -len(x[0])):
+        out.setdefault(words[0], []).append((words, capital))
+    return out
 
 
 def enumerated_py(body: str | None) -> list[str]:
-    """Names listed after a phrase that announces them: items follow one another while joined by , ; et ou puis."""
+    """Names listed after a phrase that announces them: items follow one another while joined by , ; et ou puis.
+
+    The text is cut into words and marks; a list is read from the piece after its signal: an item, then as long as a
+    mark or a joining word (or both) stands between, the next. Items have 2 to 20 letters and are no grammar word.
+    """
+    pieces = _PIECE.findall(body or "")
+    folded = [T.fold_py(p) for p in pieces]
     out, seen = [], set()
-    for signal in _SIGNAL.finditer(body or ""):
-        at = signal.end()
-        if re.match(r"comme|notamment|entre", signal.group(), re.IGNORECASE) and not body[at : at + 1].isupper():
+    for i, word in enumerate(folded):
+        for words, capital in _signals().get(word, ()):
+            at = i + len(words)
+            if folded[i:at] == words and at < len(pieces) and (not capital or pieces[at][0].isupper()):
+                break
+        else:
             continue
-        while item := _ITEM.match(body, at):
-            word = item.group()
-            key = " ".join(re.sub("[-']", " ", T.fold_py(word)).split())
-            if key and key not in GRAMMAR_WORDS and key not in seen:
+        while at < len(pieces) and pieces[at][0].isalpha() and 2 <= len(pieces[at]) <= 20 and folded[at] not in JOINING_WORDS:
+            key = " ".join(folded[at].replace("-", " ").split())
+            if key not in GRAMMAR_WORDS and key not in seen:
                 seen.add(key)
-                out.append(word)
-            joint = _JOINT.match(body, item.end())
-            if not joint:
+                out.append(pieces[at])
+            after = at + 1
+            if after < len(pieces) and pieces[after] in ",;":
+                after += 1
+            if after < len(pieces) and folded[after] in JOINING_WORDS:
+                after += 1
+            if after == at + 1:
                 break
-            at = joint.end()
+            at = after
     return out
 
 

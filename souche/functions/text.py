@@ -32,6 +32,11 @@ def _fold_table() -> tuple[str, str]:
     return "".join(source), "".join(target)
 
 
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once a row, however often it is used (a one-element array holds it)."""
+    return F.transform(F.array(value), use)[0]
+
+
 def drop_accents(col: Column) -> Column:
     """NFD, then marks removed (œ, æ, ß, ł stay, as they have no decomposition)."""
     source, target = _fold_table()
