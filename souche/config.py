@@ -34,3 +34,8 @@ class FirstNames:
     centroid_least: float = 0.88
     outlier_under: float = 0.82
     outlier_most: int = 30
+
+
+@dataclass(frozen=True)
+class Preparation:
+    most_links: int = 15

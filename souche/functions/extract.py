@@ -137,19 +137,27 @@ def sex_of_url(col: Column) -> Column:
 
 def labelled_list(col: Column, labels: list[str]) -> Column:
     """Items after the first label that has any: up to the sentence's end or the next label, bracketed remarks dropped."""
-    plain = T.drop_accents(col)  # same length as the text for precomposed letters, so places carry over
-    ways = []
-    for label in labels:
-        pattern = rf"(?is)^.*?(?:{label.replace(' ', r'\s+')})\s*:"
-        tail = col.substr(F.length(F.regexp_extract(plain, pattern, 0)) + 1, F.length(col))
-        tail = F.regexp_replace(tail, r"(?s)\.(?:\s+\p{Lu}.*|\s*)$", "")
-        cut = F.regexp_extract(T.drop_accents(tail), rf"(?is)^(.*?)(?:{SECTION_WORDS})", 1)
-        has = T.drop_accents(tail).rlike(rf"(?i){SECTION_WORDS}")
-        tail = F.when(has, tail.substr(F.lit(1), F.length(cut))).otherwise(tail)
-        items = F.transform(F.split(F.regexp_replace(tail, r"\([^)]*\)", ""), "[,;]+"), lambda x: F.trim(x, F.lit(". \t\n")))
-        items = F.filter(items, lambda x: (F.length(x) >= 2) & ~x.rlike(r"^\d+$"))
-        ways.append(F.when(plain.rlike(pattern) & (F.size(items) > 0), items))
-    return F.coalesce(*ways, F.array().cast("array<string>"))
+    section = rf"(?is)^(.*?)(?:{SECTION_WORDS})"
+
+    def items(tail: Column) -> Column:
+        parts = F.transform(F.split(F.regexp_replace(tail, r"\([^)]*\)", ""), "[,;]+"), lambda x: F.trim(x, F.lit(". \t\n")))
+        return F.filter(parts, lambda x: (F.length(x) >= 2) & ~x.rlike(r"^\d+$"))
+
+    def cut_at_label(tail: Column) -> Column:
+        plain = T.drop_accents(tail)
+        return F.when(plain.rlike(rf"(?i){SECTION_WORDS}"), tail.substr(F.lit(1), F.length(F.regexp_extract(plain, section, 1)))).otherwise(tail)
+
+    def search(plain: Column) -> Column:
+        ways = []
+        for label in labels:
+            pattern = rf"(?is)^.*?(?:{label.replace(' ', r'\s+')})\s*:"
+            tail = col.substr(F.length(F.regexp_extract(plain, pattern, 0)) + 1, F.length(col))
+            tail = F.regexp_replace(tail, r"(?s)\.(?:\s+\p{Lu}.*|\s*)$", "")
+            found = T.bound(T.bound(tail, cut_at_label), items)
+            ways.append(F.when(plain.rlike(pattern), T.bound(found, lambda x: F.when(F.size(x) > 0, x))))
+        return F.coalesce(*ways, F.array().cast("array<string>"))
+
+    return T.bound(T.drop_accents(col), search)  # of the text's length for precomposed letters, so places carry over
 
 
 def ordered_distinct(arr: Column, key) -> Column:

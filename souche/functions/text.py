@@ -137,6 +137,17 @@ def statistics_key(col: Column) -> Column:
     return squeeze(F.regexp_replace(fold(col), r"[^a-z\s\-]", " "))
 
 
+#: fixed value: what stands before the name in a listing's title
+TITLE_PREFIX = "Tout sur le prénom "
+
+
+def scraped_key(col: Column) -> Column:
+    """Key of a name in a listing: its title's prefix dropped, letters and hyphens only (œ, æ and ß spelt out)."""
+    name = F.when(col.contains(TITLE_PREFIX), col.substr(F.locate(TITLE_PREFIX, col) + len(TITLE_PREFIX), F.length(col))).otherwise(col)
+    plain = F.replace(F.replace(F.replace(fold(name), F.lit("œ"), F.lit("oe")), F.lit("æ"), F.lit("ae")), F.lit("ß"), F.lit("ss"))
+    return F.regexp_replace(plain, r"[^a-z\-]", "")
+
+
 def title_case(col: Column) -> Column:
     """Upper case after every non-letter, as in title case of running text."""
     parts = F.regexp_extract_all(F.lower(col), F.lit(r"(\p{L}+|[^\p{L}]+)"), 1)
@@ -157,6 +168,17 @@ def clean_first_name_text(col: Column) -> Column:
     return squeeze(text)
 
 
+def embedding_text(history: Column, origin: Column, etymology: Column) -> Column:
+    """Text for the encoder: the cleaned history twice, then origin and etymology, what is empty left out."""
+    parts = [absent(clean_first_name_text(c)) for c in (history, history, origin, etymology)]
+    return F.concat_ws(" | ", *parts)
+
+
+def joined_text(*cols: Column) -> Column:
+    """Cleaned fields joined by blanks, what is empty left out."""
+    return F.concat_ws(" ", *(absent(clean_first_name_text(c)) for c in cols))
+
+
 def display_text(col: Column) -> Column:
     """Blanks collapsed, first letter upper, closed with a full stop unless ended."""
     text = squeeze(col)

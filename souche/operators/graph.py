@@ -88,6 +88,37 @@ def cluster_stats(groups: DataFrame, group: str) -> DataFrame:
     )
 
 
+def largest(groups: DataFrame, group: str, k: int = 5) -> DataFrame:
+    """(rank, size): the k largest group sizes."""
+    sizes = groups.where(F.col(group).isNotNull()).groupBy(group).agg(F.count("*").alias("size")).orderBy(F.desc("size")).limit(k)
+    return sizes.select(F.row_number().over(Window.orderBy(F.desc("size"))).alias("rank"), "size")  # k rows
+
+
+def size_report(groups: DataFrame, group: str) -> DataFrame:
+    """(groups, members, in_groups, singletons, mean, median, largest); in_groups counts members who are not alone.
+
+    The median comes from how many groups have each size: one row a distinct size, about the root of twice the rows.
+    """
+    sizes = groups.where(F.col(group).isNotNull()).groupBy(group).agg(F.count("*").alias("n"))
+    hist = sizes.groupBy("n").agg(F.count("*").alias("g"))
+    upto = F.sum("g").over(Window.orderBy("n"))
+    every = F.sum("g").over(Window.partitionBy(F.lit(0)))
+    at = hist.withColumn("upto", upto).withColumn("all", every).withColumn("before", F.col("upto") - F.col("g"))
+    lower, upper = F.floor((F.col("all") + 1) / 2), F.floor(F.col("all") / 2) + 1
+    inside = lambda x: (F.col("before") < x) & (x <= F.col("upto"))
+    return at.agg(
+        F.coalesce(F.sum("g"), F.lit(0)).alias("groups"), F.coalesce(F.sum(F.col("g") * F.col("n")), F.lit(0)).alias("members"),
+        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("g") * F.col("n"))), F.lit(0)).alias("in_groups"), F.coalesce(F.sum(F.when(F.col("n") == 1, F.col("g"))), F.lit(0)).alias("singletons"),
+        F.round(F.try_divide(F.sum(F.col("g") * F.col("n")).cast("double"), F.sum("g")), 6).alias("mean"),
+        ((F.max(F.when(inside(lower), F.col("n"))) + F.max(F.when(inside(upper), F.col("n")))) / 2).alias("median"), F.max("n").alias("largest"),
+    )
+
+
+def confidence(sims: DataFrame, sim: str = "sim", otherwise: float = 0.88) -> DataFrame:
+    """(confidence): mean similarity of the outliers to their groups' centres, ``otherwise`` if there is none."""
+    return sims.agg(F.round(F.coalesce(F.avg(sim), F.lit(otherwise)), 6).alias("confidence"))
+
+
 def centroids(members: DataFrame, group: str, vector: str) -> DataFrame:
     """(group, centroid): normalised mean vector, from per-dimension sums combined map-side."""
     dims = members.where(F.col(vector).isNotNull()).select(group, F.posexplode(vector).alias("i", "x")).groupBy(group, "i").agg(F.avg(F.col("x").cast("double")).alias("x"))

@@ -135,3 +135,36 @@ def report_samples(df: DataFrame, key: str, field: str, score: str, cap: int = 5
     kind = F.when(F.col("low") <= 3, "lowest").when(F.col("high") <= 3, "highest").otherwise("random")
     rank = F.row_number().over(Window.partitionBy(field).orderBy(F.when(kind == "lowest", 0).when(kind == "highest", 1).otherwise(2), "low"))
     return picked.withColumn("kind", kind).withColumn("r", rank).where(F.col("r") <= cap).select(field, key, score, "kind")
+
+
+def long_texts(df: DataFrame, fields: list[str]) -> DataFrame:
+    """(field, text, key): non-blank texts of the fields, key the hash a cache would hold them by."""
+    pairs = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields)))
+    return df.select(pairs.alias("x")).select("x.field", "x.text").where("trim(text) <> ''").withColumn("key", F.sha2("text", 256))
+
+
+def cache_performance(df: DataFrame, fields: list[str], cache: DataFrame, seconds: float = 1.5) -> DataFrame:
+    """(unique_texts, cached, hits, hit_pct, calls, avoided, hours_saved): what a cache (key) spares of one call a text."""
+    keys = long_texts(df, fields).groupBy("key").agg(F.count("*").alias("n"))
+    known = cache.select("key").distinct()
+    entries = known.agg(F.count("*")).scalar()
+    rows = keys.join(known.withColumn("hit", F.lit(True)), "key", "left")
+    return rows.agg(
+        F.count("*").alias("unique_texts"), F.lit(entries).alias("cached"), F.count("hit").alias("hits"), F.round(F.coalesce(F.try_divide(F.count("hit") * 100.0, F.count("*")), F.lit(0.0)), 1).alias("hit_pct"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("calls"), F.coalesce(F.sum(F.when(F.col("hit"), F.col("n"))), F.lit(0)).alias("avoided"),
+        F.round(F.coalesce(F.sum(F.when(F.col("hit"), F.col("n"))), F.lit(0)) * seconds / 3600, 2).alias("hours_saved"),
+    )
+
+
+def field_lengths(df: DataFrame, fields: list[str], long: int = 1800) -> DataFrame:
+    """(field, n, mean, max, pct_long): characters of the non-blank texts of each field, and how many are over ``long``."""
+    size = F.length("text")
+    return long_texts(df, fields).groupBy("field").agg(F.count("*").alias("n"), F.round(F.avg(size), 6).alias("mean"), F.max(size).alias("max"), F.round(F.avg((size > long).cast("int")) * 100, 6).alias("pct_long"))
+
+
+def source_and_final(source: DataFrame, final: DataFrame, fields: list[str]) -> DataFrame:
+    """(field, n_source, source_pct, n_final, final_pct): filled fields before and after, both over the source's rows."""
+    total = source.agg(F.count("*")).scalar()
+    a, b = (coverage(df, fields).select("field", F.col("filled").alias(name)) for df, name in ((source, "n_source"), (final, "n_final")))
+    pct = lambda c: F.round(F.coalesce(F.try_divide(F.col(c) * 100.0, total), F.lit(0.0)), 1)
+    return a.join(b, "field").select("field", "n_source", pct("n_source").alias("source_pct"), "n_final", pct("n_final").alias("final_pct"))

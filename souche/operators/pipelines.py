@@ -12,6 +12,7 @@ from souche.functions import extract as X
 from souche.functions import text as T
 from souche.operators import graph, matching, serve, skew, tfidf
 from souche.session import cut
+from souche.sources import files
 
 # Trade words without weight in notices.
 TRADE_WORDS = "prénom prenom personne personnes notamment ainsi également aussi très plus bien peu tout tous cette celui celle ceux celles faire être avoir porter donner venir vouloir dire voir aller saint sainte fête fete jour siècle siecle ans année annee environ vers depuis jusqu nom noms famille".split()
@@ -39,6 +40,20 @@ def encode(texts: DataFrame, body: str, encoder: Callable[[Column], Column]) ->
     return texts.join(one.select(body, encoder(F.col(body)).alias("vector")), body, "left")
 
 
+def encode_cached(texts: DataFrame, body: str, encoder: Callable[[Column], Column], path: str) -> DataFrame:
+    """Texts with their vectors from a cache at ``path`` (key, vector): only texts it does not hold are encoded and appended.
+
+    The cache goes by hash of the text, so rows may be added, dropped or reordered without making it stale.
+    """
+    spark = texts.sparkSession
+    one = texts.where(f"trim({body}) <> ''").select(F.sha2(body, 256).alias("key"), F.col(body).alias("text")).dropDuplicates(["key"])
+    if files.exists(spark, path):
+        one = one.join(spark.read.parquet(path).select("key"), "key", "left_anti")
+    one.select("key", encoder(F.col("text")).alias("vector")).write.mode("append").parquet(path)
+    held = spark.read.parquet(path).dropDuplicates(["key"])
+    return texts.withColumn("key", F.sha2(body, 256)).join(held, "key", "left").drop("key")
+
+
 def regroup_surnames(df: DataFrame, cfg: Surnames = Surnames()) -> DataFrame:
     """(nom, root): groups from equal texts, and close spellings whose blended score passes."""
     one = skew.first_rows(df.select("nom", "id", "origine", "origine_brute"), ["nom"], ["id"])

@@ -13,11 +13,18 @@ from souche.session import cut
 LEAST_QUERY = 2
 SHOWN, SUGGESTED, TOP = 20, 10, 10
 
-#: fixed values: label -> latitude, longitude of map points
+# Label -> latitude, longitude of map points.
 PLACES = {
-    "bretagne": (48.2, -2.9), "normandie": (49.1, 0.2), "alsace": (48.3, 7.4), "lorraine": (48.7, 6.2), "provence": (43.9, 6.1),
-    "gascogne": (43.7, 0.2), "bourgogne": (47.1, 4.8), "auvergne": (45.7, 3.3), "savoie": (45.5, 6.5), "france": (46.6, 2.3),
+    "bretagne": (48.20, -2.93), "normandie": (49.18, 0.37), "alsace": (48.47, 7.56), "lorraine": (48.87, 6.18), "provence": (43.93, 5.72),
+    "languedoc": (43.61, 3.88), "gascogne": (43.80, 0.57), "bourgogne": (47.05, 4.85), "auvergne": (45.45, 3.17), "savoie": (45.57, 6.35),
+    "dauphiné": (45.19, 5.72), "poitou": (46.58, 0.34), "anjou": (47.47, -0.55), "touraine": (47.39, 0.69), "champagne": (49.04, 4.02),
+    "picardie": (49.89, 2.30), "flandre": (50.85, 2.71), "pays basque": (43.29, -1.65), "catalogne": (41.83, 2.13), "jura": (46.67, 5.55),
+    "franche-comté": (47.28, 6.02), "île-de-france": (48.85, 2.35), "france": (46.60, 1.88), "allemagne": (51.17, 10.45),
+    "angleterre": (52.36, -1.17), "italie": (42.83, 12.83), "espagne": (40.42, -3.70), "portugal": (39.40, -8.22), "belgique": (50.85, 4.35),
+    "suisse": (46.82, 8.23), "pays-bas": (52.13, 5.29), "scandinavie": (62.00, 15.00), "irlande": (53.41, -8.24), "pologne": (52.07, 19.48),
+    "maghreb": (30.00, 3.00), "maroc": (31.79, -7.09), "algérie": (28.03, 1.66), "tunisie": (33.89, 9.54), "nord-pas-de-calais": (50.48, 2.79),
 }
+# End of the fixed values.
 
 
 def keys(surnames: DataFrame, first_names: DataFrame) -> DataFrame:
@@ -75,9 +82,9 @@ def record(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def group_points(names: DataFrame, group: str, geo: str, key: str) -> DataFrame:
-    """(group, key, lat, lng, known): members at their place, else at the group's first known place."""
+    """(group, key, lat, lng, known): members at the place of their label ``geo``, else at the group's first known place."""
     coords = names.sparkSession.createDataFrame([(k, *v) for k, v in PLACES.items()], "g string, lat double, lng double")
-    rows = names.where(F.col(group).isNotNull()).select(F.col(group).alias("group"), F.col(key).alias("key"), X.first_label(F.col(geo), [(k, k) for k in PLACES]).alias("g")).distinct()
+    rows = names.where(F.col(group).isNotNull()).select(F.col(group).alias("group"), F.col(key).alias("key"), F.lower(F.trim(geo)).alias("g")).distinct()
     placed = rows.join(F.broadcast(coords), "g", "left")
     main = placed.where("lat IS NOT NULL").groupBy("group").agg(F.min_by(F.struct("lat", "lng"), "key").alias("main"))
     return placed.join(main, "group", "left").select("group", "key", F.coalesce("lat", "main.lat").alias("lat"), F.coalesce("lng", "main.lng").alias("lng"), F.col("lat").isNotNull().alias("known"))
@@ -138,6 +145,13 @@ def explore(df: DataFrame, group: str, label: str) -> DataFrame:
     return sizes.groupBy("size").agg(F.count("*").alias("groups")).orderBy("size").limit(15)
 
 
+def label_report(df: DataFrame, group: str, labels: list[str]) -> DataFrame:
+    """(label, labelled, groups, pct): how many groups carry each label on any of their rows."""
+    has = df.where(F.col(group).isNotNull()).groupBy(group).agg(*(F.max(T.filled(F.col(c)).cast("int")).alias(c) for c in labels))
+    long = has.agg(F.count("*").alias("groups"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in labels)).unpivot(["groups"], labels, "label", "labelled")
+    return long.select("label", "labelled", "groups", F.round(F.coalesce(F.try_divide(F.col("labelled") * 100.0, F.col("groups")), F.lit(0.0)), 6).alias("pct"))
+
+
 def advice(value: Column, low: float, high: float) -> Column:
     return F.when(value < low, "permissive").when(value > high, "strict").otherwise("balanced")
 

@@ -43,6 +43,20 @@ def weights(terms: DataFrame, documents: DataFrame, least_df: int = 2, most_df:
     return raw.join(norm, "doc").select("doc", "term", (F.col("w") / F.col("norm")).alias("weight"))
 
 
+def group_weights(terms: DataFrame, members: DataFrame) -> DataFrame:
+    """(group, doc, term, weight): as ``weights`` (plain tf, every term), each group being a corpus of its own.
+
+    ``members``: (group, doc); document counts of a (group, term) combine before the shuffle.
+    """
+    sizes = members.groupBy("group").agg(F.count("*").alias("n"))
+    rows = terms.join(members, "doc")
+    df = rows.groupBy("group", "term").agg(F.count("*").alias("df")).join(sizes, "group")
+    idf = df.select("group", "term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
+    raw = rows.join(idf, ["group", "term"]).select("group", "doc", "term", (F.col("tf") * F.col("idf")).alias("w"))
+    norm = raw.groupBy("doc").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return raw.join(norm, "doc").select("group", "doc", "term", (F.col("w") / F.col("norm")).alias("weight"))
+
+
 def pair_cosine(pairs: DataFrame, weighted: DataFrame) -> DataFrame:
     """(a, b, cosine) for the pairs given; 0 where no term is common."""
     left = weighted.select(F.col("doc").alias("a"), "term", F.col("weight").alias("wa"))

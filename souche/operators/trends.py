@@ -20,7 +20,10 @@ def department_rows(df: DataFrame, level: str) -> DataFrame:
 
 
 def clean_measures(df: DataFrame) -> DataFrame:
-    """(prenom, annee, dept, count, id_groupe_total): usable measures, first load of each kept, names and departments normalised."""
+    """(prenom, annee, dept, count, id_groupe_total): usable measures, names and departments normalised.
+
+    A measure loaded again with the same count is the same measure, whenever it came; another count is another measure.
+    """
     rows = df.where(f"annee IS NOT NULL AND count >= {MIN_COUNT} AND prenom IS NOT NULL AND NOT startswith(prenom, '_')")
     rows = rows.select(T.first_name_key(F.col("prenom")).alias("prenom"), "annee", T.pad_department(F.col("dept")).alias("dept"), "count", "id_groupe_total")
     # a repeated or late load repeats a measure: equal rows fold map-side
@@ -96,6 +99,22 @@ def decade_total(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumn("nombre_total", sum(filled[1:], filled[0])).withColumn("historique", F.map_from_arrays(F.array(*(F.lit(c.lstrip("_")) for c in columns)), F.array(*filled)))
 
 
+def decade_values(history: Column, labels: list[str]) -> Column:
+    """Values of the labelled decades in order, 0 where there is none."""
+    return F.transform(F.array(*(F.lit(x) for x in labels)), lambda x: F.coalesce(F.try_element_at(history, x), F.lit(0)))
+
+
+def with_decades(names: DataFrame, key: str, decades: DataFrame) -> DataFrame:
+    """All names with their decades (key, nombre_total, historique), names without statistics with 0 and an empty map.
+
+    Repeated keys of the statistics count once, the one of most births.
+    """
+    one = decades.groupBy(key).agg(F.max_by(F.struct("nombre_total", "historique"), "nombre_total").alias("x")).select(key, "x.*")
+    kind = dict(decades.dtypes)["historique"]
+    out = names.join(one, key, "left")
+    return out.withColumn("nombre_total", F.coalesce("nombre_total", F.lit(0))).withColumn("historique", F.coalesce("historique", F.create_map().cast(kind)))
+
+
 def decade_points(df: DataFrame, key: str) -> DataFrame:
     """(key, x, y): decades of a map by their last year, yearly mean."""
     rows = df.select(key, F.explode("historique").alias("decade", "n"))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from souche.plans import births, groups, links, measures, pipelines, relations, sheets, texts
+from souche.plans import births, groups, links, measures, pipelines, records, relations, sheets, texts
 
-MODULES = (groups, births, texts, relations, measures, links, pipelines, sheets)
+MODULES = (groups, births, texts, relations, measures, links, pipelines, sheets, records)
 
 
 def queries() -> dict:

@@ -127,12 +127,6 @@ def regrouped_first_names(s, d):
     return pipelines.regroup_first_names(names, vec, matching.explicit_links(_first_names(s, d), "prenom", "prenoms_lies"))
 
 
-def outliers(s, d):
-    """Members far from the centroid of their group, in groups of any size, as the SQL has it."""
-    rows = read(s, d, "embeddings").select("vec_id", (F.col("vec_id") % 50).alias("g"), F.col("embedding").alias("v"))
-    return graph.outliers(rows, "vec_id", "g", "v", most=2**31 - 1)
-
-
 def cohesion(s, d):
     one = skew.first_rows(_surnames(s, d).where("trim(origine) <> ''").select("nom", "origine", "id"), ["nom"], ["id"]).withColumn("group", F.substring("nom", 1, 2)).withColumn("doc", F.col("nom"))
     w = tfidf.weights(tfidf.char_terms(one, "doc", "nom"), one, 1, 1.0, False)
@@ -168,10 +162,9 @@ QUERIES = {
     "star_components": star_components,
     "gated_merge": gated,
     "regroup_first_names": regrouped_first_names,
-    "outliers": outliers,
     "majority_vote": lambda s, d: summarize.first_seen_vote(read(s, d, "events").select("user_id", "event_type", "event_id"), "user_id", "event_type", "event_id"),
     "date_vote": lambda s, d: summarize.date_vote(read(s, d, "prenoms_grouped").select("id", "id_groupe_total", "date").distinct(), "id_groupe_total", "id"),
-    "extractive_summary": lambda s, d: summarize.summaries(read(s, d, "noms_clean").select("id", "origine_brute", "id_groupe").distinct(), "id_groupe", "origine_brute", "id"),
+    "extractive_summary": lambda s, d: summarize.summaries(read(s, d, "prenoms_grouped").select("id", "texte_brut", "id_groupe_total").distinct(), "id_groupe_total", "texte_brut", "id"),
     "pack_blocks": lambda s, d: read(s, d, "documents").where("text IS NOT NULL").select("doc_id", F.posexplode(summarize.packed_blocks(F.col("text"))).alias("at", "block")),
 }
 
@@ -231,8 +224,6 @@ SQL = {
         UNION SELECT m.a, p.prenom FROM p JOIN (SELECT texte_brut, min(prenom) AS a FROM p GROUP BY 1) m USING (texte_brut) WHERE m.a <> p.prenom), u""") + " SELECT id AS prenom, min(o) AS root FROM r GROUP BY id",
     "cluster_stats": """SELECT count(*) AS clusters, count(*) FILTER (n = 1) AS singletons, round(count(*) FILTER (n = 1) * 100.0 / count(*), 6) AS singleton_pct, round(avg(n), 6) AS mean_size, max(n) AS max_size
         FROM (SELECT count(*) AS n FROM (SELECT DISTINCT id, id_groupe_total FROM prenoms_grouped WHERE id_groupe_total IS NOT NULL) GROUP BY id_groupe_total)""",
-    "outliers": """WITH d AS (SELECT vec_id, vec_id % 50 AS g, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM embeddings), m AS (SELECT g, i, avg(x) AS m FROM d GROUP BY ALL),
-        c AS (SELECT g, i, m / sqrt(sum(m * m) OVER (PARTITION BY g)) AS m FROM m) SELECT g, vec_id, round(sum(x * m), 4) AS sim FROM d JOIN c USING (g, i) GROUP BY ALL HAVING round(sum(x * m), 4) < 0.82""",
     "majority_vote": "SELECT user_id, event_type, votes FROM (SELECT user_id, event_type, count(*) AS votes, row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, min(event_id)) AS r FROM events WHERE user_id IS NOT NULL GROUP BY user_id, event_type) WHERE r = 1",
     "date_vote": """WITH o AS (SELECT DISTINCT id, id_groupe_total, date.label AS label, date.valeur AS valeur FROM prenoms_grouped WHERE id_groupe_total IS NOT NULL AND date.label <> '')
         SELECT id_groupe_total, label, valeur, votes FROM (SELECT id_groupe_total, label, arg_min(valeur, (id, coalesce(valeur, 9999))) AS valeur, count(*) AS votes, row_number() OVER (PARTITION BY id_groupe_total ORDER BY count(*) DESC, min(id), label) AS r FROM o GROUP BY id_groupe_total, label) WHERE r = 1""",

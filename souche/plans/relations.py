@@ -6,8 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from souche.functions import text as T
-from souche.operators import skew
+from souche.operators import serve, skew
 from souche.session import read
+from souche.sources import files
 
 
 def _names(s, d):
@@ -108,8 +109,8 @@ def resume_anti(s, d):
 def scalar_math(s, d):
     df = read(s, d, "orders")
     return df.select(
-        "o_orderkey", F.greatest(F.lit(1), F.ceil(F.col("o_orderkey") / 30)).cast("bigint").alias("pages"), (F.greatest(F.lit(10), F.sqrt(F.abs("o_orderkey")).cast("int")) + 5).alias("size"),
-        (F.col("o_totalprice") / 10.0).alias("mean"), F.round(F.least(F.greatest((F.year("o_orderdate") - 500) / 1500 * 100, F.lit(2.0)), F.lit(97.0)), 6).alias("marker"),
+        "o_orderkey", files.page_count(F.col("o_orderkey"), 30).cast("bigint").alias("pages"), (F.greatest(F.lit(10), F.sqrt(F.abs("o_orderkey")).cast("int")) + 5).alias("size"),
+        (F.col("o_totalprice") / 10.0).alias("mean"), serve.marker(F.year("o_orderdate")).alias("marker"),
     )
 
 
@@ -143,15 +144,15 @@ SQL = {
     "text_groups": """WITH o AS (SELECT DISTINCT id, nom, origine FROM noms_clean), f AS (SELECT origine, min(nom) AS first FROM o WHERE trim(origine) <> '' GROUP BY origine)
         SELECT o.id, substr(md5(CASE WHEN first IS NULL THEN 'solo_' || nom ELSE 'groupe_' || first END), 1, 8) AS groupe FROM o LEFT JOIN f ON f.origine = o.origine""",
     "group_texts": """SELECT id_groupe_total, string_agg(provenance, ' --- ' ORDER BY r) AS texte FROM (SELECT id_groupe_total, provenance, row_number() OVER (PARTITION BY id_groupe_total ORDER BY f, provenance) AS r
-        FROM (SELECT id_groupe_total, provenance, min(id) AS f FROM prenoms_grouped WHERE id_groupe_total IS NOT NULL AND trim(provenance) <> '' GROUP BY 1, 2)) WHERE r <= 20 GROUP BY id_groupe_total""",
-    "group_members": "SELECT id_groupe_total, nom, row_number() OVER (PARTITION BY id_groupe_total ORDER BY nom)::INT AS seq FROM (SELECT DISTINCT id_groupe_total, unnest(noms) AS nom FROM groupes_finals WHERE id_groupe_total IS NOT NULL) WHERE trim(nom) <> '' QUALIFY seq <= 50",
+        FROM (SELECT id_groupe_total, provenance, min(id) AS f FROM prenoms_grouped WHERE id_groupe_total IS NOT NULL AND trim(provenance) <> '' GROUP BY 1, 2)) GROUP BY id_groupe_total""",
+    "group_members": "SELECT id_groupe_total, nom, row_number() OVER (PARTITION BY id_groupe_total ORDER BY nom)::INT AS seq FROM (SELECT DISTINCT id_groupe_total, unnest(noms) AS nom FROM groupes_finals WHERE id_groupe_total IS NOT NULL) WHERE trim(nom) <> ''",
     "left_enrich": "SELECT c_custkey, c_nationkey, (SELECT arg_max(o_orderkey, (o_orderdate, o_orderkey)) FROM orders WHERE o_custkey = c_custkey) AS last_order, n_name FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey",
     "member_labels": """WITH v AS (SELECT id_groupe_total AS g, langue, row_number() OVER (PARTITION BY id_groupe_total ORDER BY count(*) DESC, langue) AS r FROM prenoms_grouped WHERE trim(langue) <> '' AND id_groupe_total IS NOT NULL GROUP BY id_groupe_total, langue)
         SELECT DISTINCT id, id_groupe_total, v.langue AS langue_groupe FROM prenoms_grouped p LEFT JOIN v ON v.g = p.id_groupe_total AND r = 1""",
     "array_set_ops": f"""SELECT DISTINCT id, len(list_distinct(c))::INT AS links, len(list_filter(list_distinct(c), lambda x: x <> nom))::INT AS others, list_contains(c, nom) AS selfref,
         len(list_distinct(ids))::INT AS resolved, array_to_string(list_sort(list_distinct(c)), ',') AS sorted FROM (SELECT id, nom, {_LINKS} AS c, coalesce(id_noms_lies, []) AS ids FROM noms_clean)""",
     "resume_anti": "SELECT DISTINCT prenom FROM (SELECT trim(regexp_replace(regexp_replace(strip_accents(lower(prenom)), '[-''’]', ' ', 'g'), '\\s+', ' ', 'g')) AS prenom FROM prenoms_stats) WHERE prenom <> '' AND prenom NOT IN (SELECT prenom FROM prenoms_clean)",
-    "scalar_math": "SELECT o_orderkey, greatest(1, ceil(o_orderkey / 30.0))::BIGINT AS pages, greatest(10, floor(sqrt(abs(o_orderkey)))::INT) + 5 AS size, o_totalprice / 10.0::DOUBLE AS mean, round(least(greatest((year(o_orderdate) - 500) / 1500.0 * 100, 2.0), 97.0), 6)::DOUBLE AS marker FROM orders",
+    "scalar_math": "SELECT o_orderkey, greatest(1, ceil(o_orderkey / 30.0))::BIGINT AS pages, greatest(10, floor(sqrt(abs(o_orderkey)))::INT) + 5 AS size, o_totalprice / 10.0::DOUBLE AS mean, least(greatest(round((year(o_orderdate) - 500) / 1500.0 * 100, 1), 2.0), 97.0)::DOUBLE AS marker FROM orders",
     "nested_get": "SELECT event_id, k, coalesce(k, -1) AS or_default, '{\"k\":' || k || '}' AS again, true AS same FROM (SELECT event_id, try_cast(json_extract_string(props, '$.k') AS INT) AS k FROM events)",
     "dedup_first": "SELECT user_id, event_type, event_id, ts FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1",
     "last_duplicate": "SELECT prenom, annee, dept, count FROM prenoms_stats WHERE annee IS NOT NULL AND dept IS NOT NULL QUALIFY row_number() OVER (PARTITION BY prenom, annee, dept ORDER BY charge_le DESC, count) = 1",

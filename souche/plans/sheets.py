@@ -59,8 +59,8 @@ def json_map(s, d):
     path = f"{shared_dir(s)}/souche/map-{uuid.uuid4().hex}"
     df = trends.national_series(_measures(s, d)).groupBy("prenom").agg(F.sum("births").alias("total"), F.count("*").alias("years"))
     files.write_json_map(df, "prenom", path)
-    rows = s.read.text(path).select(F.explode(F.from_json("value", "map<string,struct<total:bigint,years:bigint>>")).alias("prenom", "x"))
-    return rows.select("prenom", "x.total", "x.years")
+    rows = files.json_map(s, path, "struct<total:bigint,years:bigint>", lines=True)
+    return rows.select(F.col("key").alias("prenom"), "value.total", "value.years")
 
 
 def csv_letters(s, d):
@@ -111,7 +111,6 @@ QUERIES = {
     "autocomplete": lambda s, d: serve.search(_names(s, d), "da", inside=False),
     "combined_search": lambda s, d: serve.search(_names(s, d), _first_pair(s, d)),
     "record_sheet": lambda s, d: serve.record(read(s, d, "noms_clean").select("id", "nom", "nom_original", "origine_brute").distinct(), "nom", read(s, d, "noms_clean").agg(F.min("nom")).first()[0] or ""),
-    "map_points": lambda s, d: serve.group_points(read(s, d, "noms_clean"), "id_groupe", "origine_brute", "nom"),
     "graph_star": star,
     "direct_flag": lambda s, d: serve.related_flags(read(s, d, "prenoms_final"), "id", "prenom", "prenoms_groupe", "prenoms_lies"),
     "stats_overview": lambda s, d: serve.label_counts(read(s, d, "groupes_finals"), read(s, d, "prenoms_final"), "langue"),

@@ -54,7 +54,7 @@ QUERIES = {
     "clean_text": lambda s, d: _notes(s, d).select("doc_id", T.clean_first_name_text(F.col("text")).alias("clean")),
     "clean_surname_text": lambda s, d: _surnames(s, d).select("id", T.clean_surname_text(F.col("origine_brute")).alias("clean")),
     "display_clean": lambda s, d: _surnames(s, d).select("id", T.display_text(F.col("origine_brute")).alias("shown")),
-    "embedding_text": lambda s, d: _first_names(s, d).join(read(s, d, "prenoms_clean").select("id", "provenance").distinct(), "id").select("id", F.concat_ws(" | ", T.absent(T.squeeze(F.col("histoire"))), T.absent(T.squeeze(F.col("histoire"))), T.absent(T.squeeze(F.col("provenance"))), T.absent(T.squeeze(F.col("etymologie")))).alias("texte")),
+    "embedding_text": lambda s, d: _first_names(s, d).join(read(s, d, "prenoms_clean").select("id", "provenance").distinct(), "id").select("id", T.embedding_text(F.col("histoire"), F.col("provenance"), F.col("etymologie")).alias("texte")),
     "text_lengths": text_lengths,
     "sex_of_url": lambda s, d: _first_names(s, d).select("id", X.sex_of_url(F.col("url")).alias("sexe")).distinct(),
     "affixes": lambda s, d: read(s, d, "noms_clean").select("nom", F.substring("nom", 1, 2).alias("p2"), F.substring("nom", 1, 3).alias("p3"), F.right("nom", F.lit(2)).alias("s2"), F.right("nom", F.lit(3)).alias("s3"), F.upper(F.substring("nom", 1, 1)).alias("initial"), F.length("nom").alias("n"), F.col("nom").rlike(r"[-\s]").alias("compound")).distinct(),
@@ -93,6 +93,7 @@ _KEYS = f"""(SELECT DISTINCT 'nom' AS genre, nom_original AS raw, {_key("nom_ori
     UNION SELECT DISTINCT 'prenom', prenom_original, {_key("prenom_original", "[-''’]")} FROM prenoms_clean)"""
 _SN = "(SELECT DISTINCT id, nom, nom_original, origine_brute FROM noms_clean WHERE origine_brute IS NOT NULL)"
 _FN = "(SELECT DISTINCT id, prenom, prenom_original, etymologie, histoire, texte_brut, url FROM prenoms_clean)"
+_CLEANED = "trim(regexp_replace(regexp_replace(regexp_replace({0}, '<[^>]+>', ' ', 'g'), 'https?://\\S+', ' ', 'g'), '\\s+', ' ', 'g'))"
 _SQ = "trim(regexp_replace({0}, '\\s+', ' ', 'g'))"
 _WORDS = "list_filter(regexp_split_to_array(strip_accents(lower({0})), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')"
 
@@ -113,7 +114,9 @@ SQL = {
     "statistics_key": "SELECT DISTINCT prenom, trim(regexp_replace(regexp_replace(strip_accents(lower(prenom)), '[^a-z\\s\\-]', ' ', 'g'), '\\s+', ' ', 'g')) AS key FROM prenoms_stats",
     "clean_text": "SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), 'https?://\\S+', ' ', 'g'), '[\\s\\x{a0}\\x{85}\\p{Z}]+', ' ', 'g')) AS clean FROM documents WHERE text IS NOT NULL",
     "display_clean": f"""SELECT id, CASE WHEN t = '' THEN '' WHEN regexp_matches(t, '[.!?]$') THEN upper(t[1]) || t[2:] ELSE upper(t[1]) || t[2:] || '.' END AS shown FROM (SELECT id, {_SQ.format("origine_brute")} AS t FROM {_SN})""",
-    "embedding_text": f"""SELECT id, concat_ws(' | ', nullif({_SQ.format("histoire")}, ''), nullif({_SQ.format("histoire")}, ''), nullif({_SQ.format("provenance")}, ''), nullif({_SQ.format("etymologie")}, '')) AS texte
+    "sentences": r"""WITH p AS (SELECT doc_id, list_filter(string_split(regexp_replace(trim(text), '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: length(x) >= 25) AS l FROM documents WHERE text IS NOT NULL)
+        SELECT doc_id, unnest(l) AS item, unnest(range(len(l)))::INT AS at FROM p""",
+    "embedding_text": f"""SELECT id, concat_ws(' | ', nullif({_CLEANED.format("histoire")}, ''), nullif({_CLEANED.format("histoire")}, ''), nullif({_CLEANED.format("provenance")}, ''), nullif({_CLEANED.format("etymologie")}, '')) AS texte
         FROM (SELECT DISTINCT id, prenom, prenom_original, etymologie, histoire, texte_brut, url, provenance FROM prenoms_clean)""",
     "sex_of_url": f"SELECT DISTINCT id, CASE WHEN contains(url, 'fille') THEN 'fille' WHEN contains(url, 'garcon') THEN 'garcon' ELSE 'inconnu' END AS sexe FROM {_FN}",
     "affixes": "SELECT DISTINCT nom, nom[1:2] AS p2, nom[1:3] AS p3, right(nom, 2) AS s2, right(nom, 3) AS s3, upper(nom[1]) AS initial, length(nom)::INT AS n, regexp_matches(nom, '[-\\s]') AS compound FROM noms_clean",

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as t
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from souche.session import cut
+
 
 def exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -26,9 +28,9 @@ def json_array(spark: SparkSession, path: str, schema: str, tolerant: bool = Fal
     return reader.json(path)
 
 
-def json_map(spark: SparkSession, path: str, value: str = "string") -> DataFrame:
-    """(key, value) of a file holding one JSON object."""
-    whole = spark.read.text(path, wholetext=True)
+def json_map(spark: SparkSession, path: str, value: str = "string", lines: bool = False) -> DataFrame:
+    """(key, value) of a file holding one JSON object (one task), or with ``lines`` an object a line (read in parallel)."""
+    whole = spark.read.text(path, wholetext=not lines)
     return whole.select(F.explode(F.from_json("value", f"map<string,{value}>")).alias("key", "value"))
 
 
@@ -62,6 +64,56 @@ def write_json_map(df: DataFrame, key: str, path: str) -> None:
     df.select(F.to_json(F.map_from_arrays(F.array(key), F.array(rest))).alias("value")).write.mode("overwrite").text(path)
 
 
+def joined_file(spark: SparkSession, parts: str, path: str, head: str = "", tail: str = "") -> None:
+    """One file of the text files below ``parts`` in order, between ``head`` and ``tail``: bytes are copied, nothing is parsed or kept."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    source, target = jvm.org.apache.hadoop.fs.Path(parts), jvm.org.apache.hadoop.fs.Path(path)
+    files = source.getFileSystem(conf)
+    out = target.getFileSystem(conf).create(target, True)
+    try:
+        out.write(bytearray(head.encode()))
+        for status in sorted((f for f in files.listStatus(source) if f.getPath().getName().startswith("part-")), key=lambda f: f.getPath().getName()):
+            data = files.open(status.getPath())
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(data, out, 1 << 16, False)
+            data.close()
+        out.write(bytearray(tail.encode()))
+    finally:
+        out.close()
+
+
+def _separated(df: DataFrame, value, path: str, ends: tuple[str, str]) -> None:
+    """Rows as the entries of one JSON array or object in one file, each but the first behind a comma."""
+    rows = cut(df.select(value.alias("value")), "entries").withColumn("at", F.monotonically_increasing_id())
+    first = rows.agg(F.min("at")).first()[0]
+    parts = f"{path}.parts"
+    rows.select(F.when(F.col("at") == F.lit(first), F.col("value")).otherwise(F.concat(F.lit(","), "value")).alias("value")).write.mode("overwrite").text(parts)
+    joined_file(df.sparkSession, parts, path, ends[0] + "\n", ends[1] + "\n")
+
+
+def write_json_array(df: DataFrame, path: str) -> None:
+    """One file holding one JSON array of records."""
+    _separated(df, F.to_json(F.struct(*df.columns)), path, ("[", "]"))
+
+
+def write_json_object(df: DataFrame, key: str, path: str) -> None:
+    """One file holding one JSON object, an entry per key."""
+    entry = F.to_json(F.map_from_arrays(F.array(F.col(key).cast("string")), F.array(F.struct(*(c for c in df.columns if c != key)))))
+    _separated(df, entry.substr(F.lit(2), F.length(entry) - 2), path, ("{", "}"))
+
+
+def write_csv_files(df: DataFrame, key: str, folder: str) -> list[str]:
+    """One CSV file a first letter, with a byte-order mark and a header; rows are written in parallel, then joined a letter."""
+    spark = df.sparkSession
+    parts = f"{folder}.parts"
+    df.withColumn("lettre", F.upper(F.substring(key, 1, 1))).write.mode("overwrite").partitionBy("lettre").option("header", False).csv(parts)
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(parts)
+    letters = [f.getPath().getName().partition("=")[2] for f in root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root) if f.isDirectory()]
+    for letter in letters:
+        joined_file(spark, f"{parts}/lettre={letter}", f"{folder}/{letter}.csv", "\ufeff" + ",".join(df.columns) + "\n")
+    return sorted(letters)
+
+
 def write_csv_by_letter(df: DataFrame, key: str, path: str) -> None:
     df.withColumn("lettre", F.upper(F.substring(key, 1, 1))).write.mode("overwrite").partitionBy("lettre").option("header", True).csv(path)
 

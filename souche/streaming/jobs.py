@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from souche.operators.graph import dot
 from souche.sources.files import append_cache
 
 
@@ -28,23 +27,16 @@ def windowed(stream: DataFrame, ts: str = "ts", late: str = "1 hour", size: str
     )
 
 
-def sessions(stream: DataFrame, key: str, ts: str = "ts", gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
-    return stream.withWatermark(ts, late).groupBy(key, F.session_window(ts, gap).alias("w")).agg(F.count("*").alias("n")).select(key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
-
-
-def first_of_key(stream: DataFrame, keys: list[str], ts: str = "ts", late: str = "1 hour") -> DataFrame:
-    return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
+def scored(stream: DataFrame, corpus: DataFrame, on: str, vector: str, centre: str, least: float) -> DataFrame:
+    """Stream of new vectors against a static table of centres: the stream's columns, similarity and decision.
 
-
-def scored(stream: DataFrame, corpus: DataFrame, on: str) -> DataFrame:
-    """Stream of new names against the static corpus."""
-    return stream.join(corpus, on, "left")
+    A row whose key has no centre keeps a null similarity and is refused.
+    """
+    sim = F.round(dot(F.col(vector), F.col(centre)), 6)
+    rows = stream.join(corpus, on, "left").withColumn("sim", F.when(F.col(centre).isNotNull(), sim))
+    return rows.withColumn("decision", F.when(F.col("sim") >= least, "FUSION").otherwise("REJET")).drop(centre)
 
 
 def drain(df: DataFrame, target: str, checkpoint: str, mode: str = "append") -> None:
     """Run a stream over what there is now into Parquet, then stop."""
     df.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start().awaitTermination()
-
-
-def each_batch(stream: DataFrame, checkpoint: str, call: Callable[[DataFrame, int], None]) -> StreamingQuery:
-    return stream.writeStream.foreachBatch(call).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

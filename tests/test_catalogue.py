@@ -56,7 +56,10 @@ def test_groups_keep_all_texts(spark, tmp_path):
     assert [r.texte for r in entry.queries()["group_texts"](spark, str(tmp_path)).collect()] == [" --- ".join(f"t{i}" for i in range(45))]
 
 
-def test_outliers_of_groups_of_any_size(spark, tmp_path):
-    rows = [(i, [1.0, 0.0] if i >= 50 else [0.0, 1.0], 0) for i in range(2000)]
-    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
-    assert sorted(r.vec_id for r in entry.queries()["outliers"](spark, str(tmp_path)).collect()) == list(range(50))
+def test_outliers_come_from_groups_of_2_to_30(spark, tmp_path):
+    near, far = [1.0, 0.0], [-1.0, 0.1]
+    groups = {1: [near] * 5 + [far], 2: [near] * 31 + [far], 3: [far]}
+    rows = [(f"{g}-{i:02}", g, v) for g, vs in groups.items() for i, v in enumerate(vs)]
+    spark.createDataFrame([(i, g) for i, g, _ in rows], "id string, id_groupe_total int").write.parquet(f"{tmp_path}/prenoms_grouped.parquet")
+    spark.createDataFrame([(at, i, v) for at, (i, _, v) in enumerate(rows)], "pos bigint, id string, embedding array<float>").write.parquet(f"{tmp_path}/prenoms_vecteurs.parquet")
+    assert [(r.g, r.pos) for r in entry.queries()["outliers"](spark, str(tmp_path)).collect()] == [(1, 5)]
