@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from souche.session import cut, drop_cut
+from souche.session import cut, cut_marked, drop_cut
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", hot_least: int = 100_000, rounds: int = 100) -> DataFrame:
@@ -18,13 +18,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", hot_least: int = 10
     aggregates; vertices holding more than their share of the edges (at most 200) get theirs by
     broadcast, so a hub's edges are never gathered. Each round is cut to the shared folder.
     """
-    state = cut(edges.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).where("lo < hi").distinct(), "components")
-    mark = _mark(state)
+    marks = F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))
+    state, mark = cut_marked(edges.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).where("lo < hi").distinct(), "components", *marks)
     for _ in range(rounds):
-        new = cut(_star(_star(state, True, mark[0], hot_least), False, mark[0], hot_least), "components")
+        new, after = cut_marked(_star(_star(state, True, mark[0], hot_least), False, mark[0], hot_least), "components", *marks)
         drop_cut(state)
-        state, before = new, mark
-        mark = _mark(state)
+        state, before, mark = new, mark, after
         if mark == before:
             break
     else:
@@ -32,10 +31,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", hot_least: int = 10
     return state.select(F.col("hi").alias("id"), F.col("lo").alias("root")).unionByName(state.select(F.col("lo").alias("id"), F.col("lo").alias("root")).distinct())
 
 
-def _mark(state: DataFrame) -> tuple:
-    return tuple(state.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first())
-
-
 def _star(edges: DataFrame, large: bool, n: int, hot_least: int) -> DataFrame:
     if large:
         ways = edges.select(F.explode(F.array(F.struct(F.col("lo").alias("v"), F.col("hi").alias("u")), F.struct(F.col("hi").alias("v"), F.col("lo").alias("u")))).alias("r")).select("r.v", "r.u")

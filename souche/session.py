@@ -8,7 +8,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -44,9 +44,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; our own only where it is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``; our own only where it is unset and everything runs on one machine."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         app = spark.sparkContext.applicationId
         if app not in _OWN:
             _OWN[app] = f"file://{tempfile.mkdtemp(prefix='souche-')}"
@@ -77,6 +79,14 @@ def ship(spark: SparkSession) -> None:
         context.addPyFile(shutil.make_archive(f"{folder}/souche-code", "zip", root, os.path.basename(os.path.dirname(os.path.abspath(__file__)))))
 
 
+def cut_marked(df: DataFrame, label: str, *marks) -> tuple[DataFrame, tuple]:
+    """As ``cut``, with aggregates of the rows taken while they are written: no pass of their own."""
+    seen = Observation()
+    done = cut(df.observe(seen, *(m.alias(f"m{i}") for i, m in enumerate(marks))), label)
+    got = seen.get
+    return done, tuple(got[f"m{i}"] for i in range(len(marks)))
+
+
 def drop_cut(df: DataFrame) -> None:
     """Delete the files of a table written by ``cut`` that nothing needs any more."""
     spark = df.sparkSession
