@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souche.functions import text
-from souche.session import cut, drop_cut
+from souche.session import cut_marked, drop_cut
 
 
 def hash_to_min(pairs: DataFrame, a: str = "a", b: str = "b", hot_share: float = 0.005, hot_least: int = 100_000, rounds: int = 60) -> DataFrame:
@@ -45,9 +45,7 @@ def hash_to_min(pairs: DataFrame, a: str = "a", b: str = "b", hot_share: float =
 
 
 def _settle(rows: DataFrame) -> tuple[DataFrame, tuple]:
-    state = cut(rows, "hash-to-min")
-    mark = state.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
-    return state, tuple(mark)
+    return cut_marked(rows, "hash-to-min", F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)")))
 
 
 def _round(state: DataFrame, n: int, hot_share: float, hot_least: int) -> DataFrame:
