@@ -57,15 +57,11 @@ def fold_py(text: str) -> str:
 _WORD = re.compile(r"[^\W_]+")
 
 
-@cache
-def _any_mark() -> re.Pattern:
-    runs: list[list[int]] = []
-    for code in sorted(_marks()):
-        if runs and runs[-1][1] == code - 1:
-            runs[-1][1] = code
-        else:
-            runs.append([code, code])
-    return re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in runs) + "]")
+_MARKS_FROM = re.compile("[\u0300-\U0010ffff]")  # no mark has a smaller code
+
+
+def _has_marks(text: str) -> bool:
+    return not _marks().keys().isdisjoint(map(ord, _MARKS_FROM.findall(text)))
 
 
 def raw_words_py(text: str | None) -> list[str]:
@@ -77,7 +73,7 @@ def raw_words_py(text: str | None) -> list[str]:
     if not text:
         return []
     low = text.lower()
-    if not low.isascii() and _any_mark().search(low):
+    if not low.isascii() and _has_marks(low):
         low = fold_py(low)
     return _WORD.findall(low)
 
