@@ -137,6 +137,9 @@ _CITED = f"(SELECT id, unnest(range(len(l))) AS seq, unnest(l) AS raw FROM {_ONE
 _LINKS = f"list_filter(list_transform(coalesce(noms_lies, []), lambda x: {_CLEAN.format('x')}), lambda x: x <> '')"
 
 SQL = {
+    "propagate_links": f"""WITH o AS (SELECT id, nom, any_value(origine) AS g, any_value(noms_lies) AS noms_lies FROM noms_clean WHERE origine <> '' GROUP BY id, nom), c AS (SELECT id, nom, g, {_LINKS} AS k FROM o),
+        d AS (SELECT id, nom, g, k, list_filter(k, lambda x, i: list_position(k, x) = i AND x <> nom) AS own FROM c), p AS (SELECT g, list_sort(list(DISTINCT x)) AS pool FROM (SELECT g, unnest([nom] || k) AS x FROM d) GROUP BY g)
+        SELECT id, array_to_string((own || list_filter(pool, lambda x: x <> nom AND NOT list_contains(own, x)))[1:15], ',') AS links FROM d JOIN p USING (g)""",
     "resolve_links": f"SELECT c.id, string_agg(k.id, ',' ORDER BY seq, k.id) AS ids FROM (SELECT id, seq, {_CLEAN.format('raw')} AS k FROM {_CITED}) c JOIN (SELECT DISTINCT nom, id FROM noms_clean) k ON k.nom = c.k WHERE c.k <> '' GROUP BY c.id",
     "array_join_lookup": "SELECT l_orderkey, string_agg(coalesce(p_name, '?'), ' ' ORDER BY l_linenumber, coalesce(p_name, '?')) AS names FROM lineitem LEFT JOIN part ON p_partkey = l_partkey GROUP BY l_orderkey",
     "discover_new": f"""SELECT name, found_by, substr(md5(name), 1, 8) AS new_id FROM (SELECT name, id AS found_by, row_number() OVER (PARTITION BY name ORDER BY id, seq) AS r
