@@ -32,7 +32,6 @@ two different words of one text pair would have to collide to change a similarit
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,30 +63,40 @@ def _parts(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
+def multisets(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of lists of ``sizes`` laid end to end: the distinct members of each in order, how often each occurs, and where each list begins."""
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((hashes, row))
+    hashes, row = hashes[order], row[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])
+    at = np.flatnonzero(new)
+    return hashes[at], np.diff(np.append(at, len(hashes))).astype(np.int32), np.searchsorted(row[at], np.arange(len(sizes) + 1))
+
+
 def tokens(texts: DataFrame) -> DataFrame:
     """(genre, text_key, sig, n, words, mults) of (genre, text), one row per distinct text with words."""
 
     def cut_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, int] = {}
         for batch in _parts(batches):
-            out: list[list] = [[], [], [], [], [], []]
-            for genre, key, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                counts: Counter[int] = Counter()
-                for word, k in Counter(raw_words_py(body)).items():
+            lists = [raw_words_py(body) for body in batch.column(2).to_pylist()]
+            if len(memo) > 100_000:
+                memo.clear()
+            flat = []
+            for words in lists:
+                for word in words:
                     h = memo.get(word)
                     if h is None:
-                        if len(memo) > 100_000:
-                            memo.clear()
                         h = memo[word] = xxhash.xxh3_64_intdigest(fold_py(word)) - (1 << 63)
-                    counts[h] += k
-                if not counts:
-                    continue
-                w = np.fromiter(counts.keys(), np.int64, len(counts))
-                m = np.fromiter(counts.values(), np.int32, len(counts))
-                order = np.argsort(w)
-                w, m = w[order], m[order]
-                for column, value in zip(out, (genre, key, xxhash.xxh3_128_digest(genre.encode() + w.tobytes() + m.tobytes()), int(m.sum()), w, m)):
-                    column.append(value)
+                    flat.append(h)
+            w, m, ends = multisets(np.array(flat, np.int64), np.array([len(x) for x in lists], np.int64))
+            out: list[list] = [[], [], [], [], [], []]
+            for i, (genre, key) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                own, times = w[ends[i] : ends[i + 1]], m[ends[i] : ends[i + 1]]
+                if len(own):
+                    for column, value in zip(out, (genre, key, xxhash.xxh3_128_digest(genre.encode() + own.tobytes() + times.tobytes()), len(lists[i]), own, times)):
+                        column.append(value)
             kinds = (pa.string(), pa.string(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=["genre", "text_key", "sig", "n", "words", "mults"])
 

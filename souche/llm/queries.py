@@ -120,4 +120,24 @@ def oracle_sql() -> dict[str, str]:
             SELECT DISTINCT doc_id, item_id FROM h JOIN g USING (run)""",
     }
     out["p4_pivots"] = out["p4_found"]
+    out["p4_groups"] = f"""
+            WITH RECURSIVE t AS ({_p4_side("nom", "noms_clean", "origine_brute")} UNION ALL {_p4_side("prenom", "prenoms_clean", "texte_brut")}),
+            v AS (SELECT genre, s, row_number() OVER () AS v FROM (SELECT DISTINCT genre, list_sort(w) AS s FROM t WHERE len(w) > 0)),
+            k AS (SELECT genre, v, n, x, count(*) AS c FROM (SELECT genre, v, len(s) AS n, unnest(s) AS x FROM v) GROUP BY ALL),
+            e AS (SELECT a.v AS a, b.v AS b FROM k a JOIN k b ON a.genre = b.genre AND a.x = b.x AND a.v < b.v GROUP BY a.v, b.v, a.n, b.n
+                  HAVING sum(least(a.c, b.c)) >= 0.7 * (a.n + b.n - sum(least(a.c, b.c)))),
+            u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+            r AS (SELECT v AS v, v AS o FROM v UNION SELECT r.v, u.b FROM r JOIN u ON u.a = r.o),
+            g AS (SELECT v, min(o) AS g FROM r GROUP BY v), l AS (SELECT a AS v, count(*) AS links FROM u GROUP BY a),
+            m AS (SELECT t.genre, t.id, g.g, coalesce(l.links, 0) AS links FROM (SELECT DISTINCT genre, id, body, list_sort(w) AS s FROM t) t JOIN v ON v.genre = t.genre AND v.s = t.s JOIN g ON g.v = v.v LEFT JOIN l ON l.v = v.v),
+            z AS (SELECT genre, g, min(id) AS id_min FROM m GROUP BY genre, g HAVING count(*) > 1)
+            SELECT m.genre, m.id, min(id_min) AS id_min, max(links) AS links FROM m JOIN z ON z.genre = m.genre AND z.g = m.g GROUP BY m.genre, m.id"""
+    out["p7_items"] = f"""
+            WITH i AS (SELECT item_id, {_WORDS.format("texte")} AS w FROM items_eval), d AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
+            g AS (SELECT DISTINCT item_id, k, w[k:k+11] AS run FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 1))) AS k FROM i) WHERE len(w) >= 12),
+            h AS (SELECT DISTINCT doc_id, k AS j, w[k:k+11] AS run FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 10, 1))) AS k FROM d WHERE len(w) >= 12)),
+            m AS (SELECT DISTINCT doc_id, item_id, j, j - k AS away FROM h JOIN g USING (run)),
+            s AS (SELECT *, j - row_number() OVER (PARTITION BY doc_id, item_id, away ORDER BY j) AS stretch FROM m),
+            n AS (SELECT doc_id, item_id, count(*) + 11 AS run FROM s GROUP BY doc_id, item_id, away, stretch)
+            SELECT item_id, count(DISTINCT doc_id) AS documents, max(run)::INT AS longest_run FROM n GROUP BY item_id"""
     return out
