@@ -48,9 +48,45 @@ def jaro_winkler_py(a: str, b: str) -> float:
     return jaro + 0.1 * prefix * (1 - jaro)
 
 
+def jaro_winkler_rows(a: list[str], b: list[str]) -> np.ndarray:
+    """``jaro_winkler_py`` of many pairs at once: letters as codes in a matrix, one step per letter of the longest name."""
+    la, lb = (np.array([len(x) for x in side]) for side in (a, b))
+    wide = max(int(la.max(initial=0)), int(lb.max(initial=0)), 1)
+    x, y = (np.array(side, dtype=f"U{wide}").view(np.uint32).reshape(len(side), wide) for side in (a, b))
+    at = np.arange(wide)
+    reach = np.maximum(np.maximum(la, lb) // 2 - 1, 0)[:, None]
+    free = at[None, :] < lb[:, None]
+    left = np.zeros(x.shape, bool)
+    for i in range(int(la.max(initial=0))):
+        near = free & (y == x[:, i : i + 1]) & (np.abs(at[None, :] - i) <= reach) & (i < la)[:, None]
+        hit = near.any(1)
+        left[:, i] = hit
+        free[hit, near.argmax(1)[hit]] = False
+    right = (at[None, :] < lb[:, None]) & ~free
+    m = left.sum(1)
+    # matched letters of both sides, in order, in front
+    first, second = (np.take_along_axis(side, np.argsort(~held, axis=1, kind="stable"), 1) for side, held in ((x, left), (y, right)))
+    swaps = ((first != second) & (at[None, :] < m[:, None])).sum(1) // 2
+    some = np.maximum(m, 1)
+    jaro = np.where(m > 0, (m / np.maximum(la, 1) + m / np.maximum(lb, 1) + (m - swaps) / some) / 3, 0.0)
+    same = (x[:, :4] == y[:, :4]) & (at[None, :4] < np.minimum(la, lb)[:, None])
+    prefix = np.cumprod(same, axis=1).sum(1)
+    out = np.where(jaro > 0.7, jaro + 0.1 * prefix * (1 - jaro), jaro)
+    return np.where([p == q for p, q in zip(a, b)], 1.0, out)
+
+
 @F.pandas_udf(DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([np.nan if x is None or y is None else jaro_winkler_py(x, y) for x, y in zip(a, b)], dtype=float)
+    out = np.full(len(a), np.nan)
+    known = np.flatnonzero(a.notna().to_numpy() & b.notna().to_numpy())
+    x, y = a.to_numpy()[known].tolist(), b.to_numpy()[known].tolist()
+    # letters that numpy would take for padding, and names too long for a matrix, go one by one
+    odd = np.array([len(p) > 256 or len(q) > 256 or p.endswith("\0") or q.endswith("\0") for p, q in zip(x, y)], bool)
+    out[known[odd]] = [jaro_winkler_py(x[i], y[i]) for i in np.flatnonzero(odd)]
+    plain = np.flatnonzero(~odd)
+    for part in (plain[i : i + 8192] for i in range(0, len(plain), 8192)):
+        out[known[part]] = jaro_winkler_rows([x[i] for i in part], [y[i] for i in part])
+    return pd.Series(out)
 
 
 def prefix_pairs(names: DataFrame, name: str, prefix: int = 2, least: float = JW_LEAST) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from souche.functions import text as T
+from souche.session import cut, drop_cut
 
 
 def pair_scores(pairs: DataFrame, truth: str, predicted: str) -> DataFrame:
@@ -62,28 +65,59 @@ def rouge_recall(pairs: DataFrame, key: str, source: str, other: str, n: int = 1
     return both.select(key, (F.col("hit") / F.col("all")).alias("recall"))
 
 
+def common_subsequence(x: list[str], y: list[str]) -> int:
+    """Length of the longest common subsequence; rows of the table are the bits of one integer."""
+    places: dict[str, int] = {}
+    for i, w in enumerate(x):
+        places[w] = places.get(w, 0) | 1 << i
+    full = (1 << len(x)) - 1
+    row = full
+    for w in y:
+        hit = row & places.get(w, 0)
+        row = ((row + hit) | (row - hit)) & full
+    return len(x) - row.bit_count()
+
+
 @F.pandas_udf(DoubleType())
 def rouge_l(a: pd.Series, b: pd.Series) -> pd.Series:
     """Longest common subsequence of words over the source's words."""
-    out = []
-    for x, y in zip(a, b):
-        x, y = T.words_py(x), T.words_py(y)
-        row = [0] * (len(y) + 1)
-        for w in x:
-            last = 0
-            for j, v in enumerate(y, 1):
-                last, row[j] = row[j], last + 1 if v == w else max(row[j], row[j - 1])
-        out.append(row[-1] / len(x) if x else float("nan"))
-    return pd.Series(out, dtype=float)
+    words = ((T.words_py(x), T.words_py(y)) for x, y in zip(a, b))
+    return pd.Series([common_subsequence(x, y) / len(x) if x else float("nan") for x, y in words], dtype=float)
+
+
+PERCENTILES = {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}
 
 
 def describe(df: DataFrame, value: str) -> DataFrame:
-    """(n, mean, std, min, p10, p25, p50, p75, p90, max): exact linear percentiles."""
-    v = F.col(value)
-    p = F.percentile(v, F.array(*(F.lit(x) for x in (0.1, 0.25, 0.5, 0.75, 0.9))))
-    row = df.agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), p.alias("p"), F.max(v).alias("max"))
+    """(n, mean, std, min, p10, p25, p50, p75, p90, max): exact linear percentiles.
+
+    Values are sorted in ranges; the few ranks wanted are looked up in the ranges that hold them, so no task sees all values.
+    """
     r = lambda c: F.round(c, 6)
-    return row.select("n", r(F.col("mean")).alias("mean"), r(F.col("std")).alias("std"), "min", *(r(F.col("p")[i]).alias(k) for i, k in enumerate(("p10", "p25", "p50", "p75", "p90"))), "max")
+    v = F.col(value).cast("double")
+    whole = df.agg(F.count(v).alias("n"), r(F.avg(v)).alias("mean"), r(F.stddev_samp(v)).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"))
+    rows = cut(df.where(v.isNotNull()).select(v.alias("v")).repartitionByRange("v").withColumn("part", F.spark_partition_id()), "values")
+    sizes = {x.part: x.n for x in rows.groupBy("part").agg(F.count("*").alias("n")).collect()}  # one row a partition
+    n, before, starts = sum(sizes.values()), 0, {}
+    for part in sorted(sizes):
+        starts[part], before = before, before + sizes[part]
+    ranks = sorted({rank for p in PERCENTILES.values() for rank in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))}) if n else []
+    home = {rank: max(p for p, start in starts.items() if start <= rank and sizes[p]) for rank in ranks}
+    found = {}
+    for part in sorted(set(home.values())):
+        at = F.row_number().over(Window.partitionBy("part").orderBy("v")) - 1 + F.lit(starts[part])
+        here = [rank for rank in ranks if home[rank] == part]
+        found |= {x["rank"]: x.v for x in rows.where(F.col("part") == part).select("v", at.alias("rank")).where(F.col("rank").isin(here)).collect()}
+    drop_cut(rows)
+
+    def percentile(p: float) -> float | None:
+        if not n:
+            return None
+        low, high = math.floor(p * (n - 1)), math.ceil(p * (n - 1))
+        return found[low] + (found[high] - found[low]) * (p * (n - 1) - low)
+
+    points = (r(F.lit(percentile(p)).cast("double")).alias(name) for name, p in PERCENTILES.items())
+    return whole.select("n", "mean", "std", "min", *points, "max")
 
 
 def histogram10(df: DataFrame, value: str) -> DataFrame:

@@ -156,21 +156,26 @@ def advice(value: Column, low: float, high: float) -> Column:
     return F.when(value < low, "permissive").when(value > high, "strict").otherwise("balanced")
 
 
-def knn_probe(queries: DataFrame, corpus: DataFrame, k: int = 5, chunks: int = 16, block: int = 512) -> DataFrame:
+def knn_probe(queries: DataFrame, corpus: DataFrame, k: int = 5, tile: int = 2048, ask: int = 512) -> DataFrame:
     """(q, c, sim, rank): exact k nearest rows of ``corpus`` (id, v) for a stated set of ``queries`` (id, v).
 
-    Both sides come in blocks and every block of queries meets every chunk of the corpus as one
-    matrix product; only the k best of each chunk go on. Meant for a set of queries, not all rows.
+    Both sides lie in blocks by hash, as many as their rows need, and every block of queries meets every block of
+    the corpus as one matrix product; only the k best of each go on. Meant for a set of queries, not all rows.
     """
     import numpy as np
     import pyarrow as pa
 
-    c = corpus.where("v IS NOT NULL").select(F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int").alias("chunk"), "id", F.col("v").cast("array<double>").alias("v"))
-    part = F.row_number().over(Window.partitionBy("chunk").orderBy("id"))
-    c = c.withColumn("sub", F.floor((part - 1) / block)).groupBy("chunk", "sub").agg(F.collect_list(F.struct("id", "v")).alias("cs"))
-    q = queries.where("v IS NOT NULL").select(F.pmod(F.xxhash64("id"), F.lit(8)).alias("ask"), "id", F.col("v").cast("array<double>").alias("v"))
-    q = q.withColumn("sub", F.floor((F.row_number().over(Window.partitionBy("ask").orderBy("id")) - 1) / block)).groupBy("ask", "sub").agg(F.collect_list(F.struct("id", "v")).alias("qs"))
-    pairs = q.select("qs", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk")).join(c.select("chunk", "cs"), "chunk").select("qs", "cs")
+    def blocks(df: DataFrame, size: int, at: str, rows: str) -> tuple[DataFrame, int]:
+        held = df.where("v IS NOT NULL").select("id", F.col("v").cast("array<double>").alias("v"))
+        count = max(1, -(-held.count() // size))
+        return held.groupBy(F.pmod(F.xxhash64("id"), F.lit(count)).cast("int").alias(at)).agg(F.collect_list(F.struct("id", "v")).alias(rows)), count
+
+    c, chunks = blocks(corpus, tile, "chunk", "cs")
+    q, asks = blocks(queries, ask, "ask", "qs")
+    parts = max(1, chunks * asks // 2)
+    asked = q.select("ask", "qs", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk")).repartition(parts, "chunk", "ask")
+    held = c.select("chunk", "cs", F.explode(F.sequence(F.lit(0), F.lit(asks - 1))).alias("ask")).repartition(parts, "chunk", "ask")
+    pairs = asked.join(held.hint("merge"), ["chunk", "ask"]).select("qs", "cs")
 
     def multiply(batches):
         for batch in batches:
