@@ -153,3 +153,16 @@ SQL = {
         SELECT count(*) AS groups, count(*) FILTER (coalesce(top >= 0.75 * a, true)) AS consistent, round(avg(CASE WHEN coalesce(top >= 0.75 * a, true) THEN 1 ELSE 0 END), 6) AS share FROM z LEFT JOIN t USING (g)""",
     "cache_report": f"SELECT count(*) AS texts, count(DISTINCT histoire) AS unique_texts, round((count(*) - count(DISTINCT histoire)) * 1.5 / 3600, 6) AS hours_saved FROM {_REC} WHERE trim(histoire) <> ''",
 }
+_LONG_V = " UNION ALL ".join(f"SELECT id, '{f}_v' AS field, {f}_v AS t FROM {_REC} WHERE trim({f}_v) <> ''" for f in FIELDS)
+SQL["text_quality"] = f"""WITH q AS ({_LONG_V}), u AS (SELECT id || '|' || field AS k, string_split(trim(regexp_replace(lower(t), '[\\s\\x{{a0}}\\x{{85}}\\p{{Z}}]+', ' ', 'g')), ' ') AS w FROM q),
+        g AS (SELECT k, w[i] || ' ' || w[i+1] || ' ' || w[i+2] AS g, count(*) AS c FROM (SELECT k, w, unnest(range(1, greatest(len(w) - 1, 1))) AS i FROM u WHERE len(w) > 2) GROUP BY ALL),
+        r AS (SELECT k, count(*) FILTER (c >= 3) / sum(c)::DOUBLE AS share FROM g GROUP BY k), x AS (SELECT field, t AS text, share, {_WC.format('t')} AS wc FROM q LEFT JOIN r ON r.k = id || '|' || field)
+        SELECT field, count(*) AS n, round(avg({_FLESCH.format('text')}), 6) AS flesch, round(avg(regexp_matches(trim(text), '(?s)^\\p{{Lu}}.*[.!?]$')::INT), 6) AS well_formed, round(avg(coalesce(share, 0)), 6) AS repeated FROM x GROUP BY field"""
+_SHOWN = "trim(regexp_replace(s, '[\\s\\x{a0}\\x{85}\\p{Z}]+', ' ', 'g'))"
+SQL["hash_cache_lookup"] = f"""WITH p AS (SELECT id, histoire AS s, (SELECT min(histoire_v) FROM {_REC} x WHERE x.histoire = r.histoire AND trim(histoire_v) <> '') AS v FROM {_REC} r WHERE trim(histoire) <> ''),
+        d AS (SELECT s AS t FROM p WHERE trim(v) <> '' UNION SELECT v FROM p WHERE trim(v) <> ''), c AS (SELECT t, term, count(*) AS tf FROM (SELECT t, unnest(regexp_extract_all(lower(t), '[\\p{{L}}\\p{{N}}\\p{{M}}_]{{2,}}')) AS term FROM d) GROUP BY ALL),
+        n AS (SELECT count(*) AS n FROM d), f AS (SELECT term, count(*) AS df FROM c GROUP BY term), w AS (SELECT t, term, tf * (ln((1 + (SELECT n FROM n)) / (1 + df)::DOUBLE) + 1) AS w FROM c JOIN f USING (term)),
+        u AS (SELECT t, term, w / sqrt(sum(w * w) OVER (PARTITION BY t)) AS w FROM w), k AS (SELECT DISTINCT s, v FROM p WHERE trim(v) <> ''),
+        z AS (SELECT k.s, k.v, round(coalesce(sum(a.w * b.w), 0), 9) AS cosine FROM k LEFT JOIN u a ON a.t = k.s LEFT JOIN u b ON b.t = k.v AND b.term = a.term GROUP BY k.s, k.v),
+        y AS (SELECT id, p.s, p.v, coalesce(trim(p.v) = '' OR cosine > 0.97, p.v IS NULL) AS refused FROM p LEFT JOIN z ON z.s = p.s AND z.v = p.v)
+        SELECT id AS key, CASE WHEN refused THEN upper({_SHOWN}[1]) || {_SHOWN}[2:] || CASE WHEN regexp_matches({_SHOWN}, '[.!?]$') THEN '' ELSE '.' END ELSE v END AS value, refused AS source_used FROM y"""

@@ -73,3 +73,11 @@ SQL = {
         SELECT q.id, round(coalesce(c, 0), 9) AS cosine, round(len(string_split(trim(regexp_replace(o, '\\s+', ' ', 'g')), ' '))::DOUBLE / len(string_split(trim(regexp_replace(s, '\\s+', ' ', 'g')), ' ')), 9) AS length_ratio, round(coalesce(c, 0), 9) > 0.97 AS fallback FROM q LEFT JOIN d ON d.id = q.id""",
 }
 SQL["encode_once"] = "SELECT id, dims FROM (" + SQL["encode_once"] + ")"
+SQL["diversification_summary"] = "SELECT count(cosine) AS n, round(avg(cosine), 6) AS mean, round(stddev_samp(cosine), 6) AS std, min(cosine) AS min, " + ", ".join(f"round(quantile_cont(cosine, {q / 100}), 6) AS p{q}" for q in (10, 25, 50, 75, 90)) + f", max(cosine) AS max FROM ({SQL['diversification']})"
+_SQUEEZED = "trim(regexp_replace(coalesce(t, ''), '[\\s\\x{a0}\\x{85}\\p{Z}]+', ' ', 'g'))"
+SQL["fusion_pairs"] = f"""WITH o AS (SELECT prenom, texte_brut AS t, id_groupe_total::VARCHAR AS g FROM prenoms_grouped QUALIFY row_number() OVER (PARTITION BY prenom ORDER BY id) = 1),
+        ge AS (SELECT trim(texte_brut) AS t FROM prenoms_grouped WHERE trim(texte_brut) <> '' GROUP BY 1 HAVING count(DISTINCT id) > 1),
+        ra AS (SELECT string_split(prenom, ' ')[1] AS r FROM (SELECT DISTINCT prenom FROM prenoms_grouped) WHERE contains(prenom, ' ') AND length(string_split(prenom, ' ')[1]) >= 4 GROUP BY 1 HAVING count(*) >= 2),
+        f AS (SELECT prenom, g, CASE WHEN {_SQUEEZED} = '' THEN 0 ELSE len(string_split({_SQUEEZED}, ' ')) END AS n, coalesce(trim(t) IN (SELECT t FROM ge), false) AS gen, CASE WHEN contains(prenom, ' ') THEN string_split(prenom, ' ')[1] END AS r FROM o)
+        SELECT a.prenom AS a, b.prenom AS b FROM f a JOIN f b ON a.prenom[1:2] = b.prenom[1:2] AND a.prenom < b.prenom AND length(a.prenom) > 4 AND length(b.prenom) > 4 AND a.g <> b.g AND least(a.n, b.n) >= 5
+        WHERE round(jaro_winkler_similarity(a.prenom, b.prenom), 9) >= 0.85 AND NOT (a.gen AND b.gen) AND NOT coalesce(a.r = b.r AND a.r IN (SELECT r FROM ra), false)"""

@@ -104,7 +104,17 @@ def _multi(groups: dict) -> str:
 
 _ROMAN = "(SELECT upper(r) AS r, v FROM (VALUES " + ", ".join(f"('{r}', {v})" for v, r in enumerate([t + u for t in ("", "x", "xx", "xxx") for u in ("", "i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix")]) if r) + ") x(r, v))"
 
+_W = "\\p{L}\\p{Nd}\\p{M}\\p{Pc}"  # what counts as a letter of a word
+_BARE = f"regexp_replace(regexp_replace(regexp_replace(strip_accents(origine_brute), 'https?://\\S+|www\\.\\S+', ' ', 'g'), '(^|[^{_W}])\\p{{Nd}}+[{_W}]*', '\\1 ', 'g'), '[^{_W}\\s\\x{{a0}}\\x{{85}}\\p{{Z}}''-]', ' ', 'g')"
+
+
+def _joined(x: str) -> str:
+    """Hyphens between letters marked to stay."""
+    return f"regexp_replace({x}, '([{_W}])-([{_W}])', '\\1' || chr(1) || '\\2', 'g')"
+
+
 SQL = {
+    "clean_surname_text": f"SELECT id, trim(regexp_replace(lower(replace(replace({_joined(_joined(_BARE))}, '-', ' '), chr(1), '-')), '[\\s\\x{{a0}}\\x{{85}}\\p{{Z}}]+', ' ', 'g')) AS clean FROM {_SN}",
     "text_lengths": """SELECT doc_id, CASE WHEN t = '' THEN 0 ELSE len(string_split(t, ' '))::INT END AS tokens, length(text)::INT AS chars, trim(text) <> '' AS filled, replace(format('{:,}', n_chars), ',', ' ') AS shown, text[1:160] AS head
         FROM (SELECT *, trim(regexp_replace(text, '[\\s\\x{a0}\\x{85}\\p{Z}]+', ' ', 'g')) AS t FROM documents WHERE text IS NOT NULL)""",
     "normalize_key": f"SELECT * FROM {_KEYS}",
