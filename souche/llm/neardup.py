@@ -144,12 +144,13 @@ def region_rows(words: np.ndarray, mults: np.ndarray, n: int, sketch: np.ndarray
     return out
 
 
-def parity(words: np.ndarray, mults: np.ndarray) -> bytes:
-    """256 parities of the multiset's members, so that differing bits never outnumber differing members."""
+def parities(words: np.ndarray, mults: np.ndarray, row: np.ndarray, rows: int) -> list[bytes]:
+    """Per row 256 parities of its multiset's members, so that differing bits never outnumber differing members."""
     each = np.repeat(words.view(np.uint64), mults)
     nth = np.arange(len(each), dtype=np.uint64) - np.repeat(np.cumsum(mults) - mults, mults).astype(np.uint64)
     bits = ((each + nth * np.uint64(STEP)) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(56)
-    return np.packbits(np.bincount(bits.astype(np.int64), minlength=256) & 1).tobytes()
+    counts = np.bincount(np.repeat(row, mults) * 256 + bits.astype(np.int64), minlength=rows * 256)
+    return [x.tobytes() for x in np.packbits((counts & 1).astype(np.uint8).reshape(rows, 256), axis=1)]
 
 
 def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,11 +165,13 @@ def regions(toks: DataFrame, shared, texts: int, least: float, crowd: float, dep
         for batch in _parts(batches):
             sigs, ns, genres = (batch.column(c).to_pylist() for c in ("sig", "n", "genre"))
             (ends, words), (_, mults) = _lists(batch.column("words")), _lists(batch.column("mults"))
-            key, miss, rows, bits = [], [], [], []
+            first = int(ends[0])
+            words, mults, ends = words[first : ends[-1]], mults[first : ends[-1]], ends - first
+            bits = parities(words, mults, np.repeat(np.arange(len(ns)), np.diff(ends)), len(ns))
+            key, miss, rows = [], [], []
             for i, n in enumerate(ns):
                 w, m = words[ends[i] : ends[i + 1]], mults[ends[i] : ends[i + 1]]
                 found = region_rows(w, m, n, counts, texts, least, crowd, depth, genres[i])
-                bits.append(parity(w, m))
                 rows += [i] * len(found)
                 for k, x in found:
                     key.append(k)
