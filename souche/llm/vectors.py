@@ -51,7 +51,7 @@ WORDS = 256
 PROBES = 12
 SURE = 4.0
 BLOCK = 4096
-ASK = 2048
+ASK = 4096
 SLOTS = 32
 
 
@@ -261,7 +261,7 @@ def searched(stock: DataFrame, asks: DataFrame, counts: dict[int, int], shared,
     lots = {shelf: max(1, -(-n // ASK)) for shelf, n in counts.items()}
     # one row a shelf: the root of the number of vectors, or the vectors over a block
     table = spark.createDataFrame(list(lots.items()), "shelf int, lots int")
-    parts = max(1, sum(lots.values()) // 2)
+    parts = max(1, sum(lots.values()))
     queries = asks.join(F.broadcast(table), "shelf").withColumn("lot", F.pmod(F.xxhash64("key"), "lots").cast("int")).groupBy("shelf", "lot").agg(F.collect_list(F.struct("key", "b", "cells")).alias("queries"))
     held = stock.join(F.broadcast(table), "shelf").withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1))).select("shelf", "lot", "rows")
     # few rows to a partition, as Python gets many rows of one at once

@@ -87,3 +87,24 @@ def test_tiles_meet_each_other(spark):
     np.fill_diagonal(sims, -np.inf)
     got = {(r.q, r["rank"]): r.c for r in serve.knn_self(df, 7, tile=40).collect()}
     assert got == {(p, i + 1): int(q) for p in range(300) for i, q in enumerate(np.argsort(-sims[p])[:7])}
+
+
+def test_cells_keep_their_sample_at_any_ratio(spark):
+    """Fewer vectors on the driver never mean fewer to a cell: recall holds and no codebook collapses."""
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(40, 32))
+    x = (centres[rng.integers(0, 40, 1600)] + 0.5 * rng.normal(size=(1600, 32))).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(p, v.tolist()) for p, v in enumerate(x)], "pos bigint, embedding array<float>")
+    keyed = df.select(df.pos.alias("key"), df.embedding.alias("v"))
+    sims = x @ x.T
+    np.fill_diagonal(sims, -np.inf)
+    want = np.argsort(-sims, 1)[:, :5]
+    for sample, per_cell, lot in ((48, 16, 64), (400, 40, 10_000)):
+        index = vectors.fit(keyed, 1600, 32, sample=sample, per_cell=per_cell, lot=lot)
+        sizes = np.bincount(vectors.nearest(x, index.coarse), minlength=len(index.coarse))
+        assert len(index.coarse) * per_cell <= 1600 and np.mean(sizes) >= per_cell and max(float(np.abs(b).max()) for b in index.books) > 0
+        got = {}
+        for r in vectors.neighbours(df, 5, probes=4, sample=sample, per_cell=per_cell, lot=lot, block=200).collect():
+            got.setdefault(r.pos, set()).add(r.other)
+        assert sum(len(got[p] & set(want[p])) for p in range(1600)) / 8000 >= 0.9
