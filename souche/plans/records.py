@@ -12,7 +12,7 @@ from souche.operators import graph, metrics, records, serve, skew, tfidf, trends
 from souche.operators import pipelines as P
 from souche.plans import births
 from souche.plans import texts as texts_plan
-from souche.session import read, shared_dir
+from souche.session import own_dir, read
 from souche.sources import files
 from souche.streaming import jobs
 
@@ -119,14 +119,14 @@ def map_points(s, d):
 
 def json_files(s, d):
     """Groups written as one JSON array and read back."""
-    path = f"{shared_dir(s)}/souche/array-{uuid.uuid4().hex}.json"
+    path = f"{own_dir(s)}/array-{uuid.uuid4().hex}.json"
     files.write_json_array(read(s, d, "groupes_finals").select("id_groupe_total", "lot", "noms", "langue"), path)
     return files.json_array(s, path, "id_groupe_total int, lot int, noms array<string>, langue string").select("id_groupe_total", "lot", F.size("noms").alias("n"), "langue")
 
 
 def json_object(s, d):
     """Totals written as one JSON object and read back."""
-    path = f"{shared_dir(s)}/souche/object-{uuid.uuid4().hex}.json"
+    path = f"{own_dir(s)}/object-{uuid.uuid4().hex}.json"
     totals = trends.national_series(births._measures(s, d)).groupBy("prenom").agg(F.sum("births").alias("total"))
     files.write_json_object(totals, "prenom", path)
     return files.json_map(s, path, "struct<total:bigint>").select(F.col("key").alias("prenom"), F.col("value.total").alias("total"))
@@ -134,7 +134,7 @@ def json_object(s, d):
 
 def csv_files(s, d):
     """One CSV file a letter with a byte-order mark, listed and read back."""
-    folder = f"{shared_dir(s)}/souche/letters-{uuid.uuid4().hex}"
+    folder = f"{own_dir(s)}/letters-{uuid.uuid4().hex}"
     files.write_csv_files(read(s, d, "prenoms_clean").select("prenom", "sexe").distinct(), "prenom", folder)
     rows = files.require(files.csv_table(s, f"{folder}/*.csv"), {"prenom", "sexe"}).groupBy(F.upper(F.substring("prenom", 1, 1)).alias("lettre")).agg(F.count("*").alias("n"))
     names = files.listing(s, folder, ".csv").select(F.regexp_extract("path", r"([^/]+)\.csv$", 1).alias("lettre"))
@@ -145,7 +145,7 @@ def vector_cache(s, d):
     """Texts encoded through a cache, twice: the second run encodes nothing."""
     from souche.plans.pipelines import _hash_vector
 
-    path = f"{shared_dir(s)}/souche/vectors-{uuid.uuid4().hex}"
+    path = f"{own_dir(s)}/vectors-{uuid.uuid4().hex}"
     rows = read(s, d, "prenoms_clean").select("id", "texte_brut").distinct()
     for _ in range(2):
         done = P.encode_cached(rows, "texte_brut", _hash_vector, path)
@@ -154,7 +154,7 @@ def vector_cache(s, d):
 
 def steps(s, d):
     """Preparation, grouping and numbering of surnames as steps."""
-    path = f"{shared_dir(s)}/souche/steps-{uuid.uuid4().hex}"
+    path = f"{own_dir(s)}/steps-{uuid.uuid4().hex}"
     names = read(s, d, "noms_clean").select("id", "nom", "origine").distinct()
     run = records.run_steps([
         ("prepare", lambda: records.text_groups(names, "nom", "origine", "id")),
@@ -167,7 +167,7 @@ def steps(s, d):
 
 def stream_scored(s, d):
     """Vectors as a stream against the centres of their labels."""
-    base = f"{shared_dir(s)}/souche/scored-{uuid.uuid4().hex}"
+    base = f"{own_dir(s)}/scored-{uuid.uuid4().hex}"
     df = read(s, d, "embeddings")
     centres = graph.centroids(df.select("label", "embedding"), "label", "embedding")
     stream = s.readStream.schema(df.schema).option("pathGlobFilter", "embeddings.parquet*").parquet(d)

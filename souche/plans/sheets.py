@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from souche.operators import serve, skew, trends
-from souche.session import read, shared_dir
+from souche.session import own_dir, read
 from souche.sources import files
 from souche.streaming import jobs
 
@@ -49,14 +49,14 @@ def candidate(s, d):
 
 
 def json_roundtrip(s, d):
-    path = f"{shared_dir(s)}/souche/json-{uuid.uuid4().hex}"
+    path = f"{own_dir(s)}/json-{uuid.uuid4().hex}"
     df = read(s, d, "groupes_finals").select("id_groupe_total", "lot", "noms", "langue", "geo", "texte_resume")
     files.write_json(df, path)
     return files.json_array(s, path, "id_groupe_total int, lot int, noms array<string>, langue string, geo string, texte_resume string", lines=True).select("id_groupe_total", "lot", F.size("noms").alias("n"), "langue", "geo")
 
 
 def json_map(s, d):
-    path = f"{shared_dir(s)}/souche/map-{uuid.uuid4().hex}"
+    path = f"{own_dir(s)}/map-{uuid.uuid4().hex}"
     df = trends.national_series(_measures(s, d)).groupBy("prenom").agg(F.sum("births").alias("total"), F.count("*").alias("years"))
     files.write_json_map(df, "prenom", path)
     rows = files.json_map(s, path, "struct<total:bigint,years:bigint>", lines=True)
@@ -64,14 +64,14 @@ def json_map(s, d):
 
 
 def csv_letters(s, d):
-    path = f"{shared_dir(s)}/souche/csv-{uuid.uuid4().hex}"
+    path = f"{own_dir(s)}/csv-{uuid.uuid4().hex}"
     files.write_csv_by_letter(read(s, d, "prenoms_clean").select("prenom", "url", "sexe").distinct(), "prenom", path)
     df = files.require(files.csv_table(s, path), {"prenom", "url", "sexe"})
     return df.groupBy("lettre").agg(F.count("*").alias("n"), F.count("url").alias("urls"))
 
 
 def cache_upsert(s, d):
-    path = f"{shared_dir(s)}/souche/cache-{uuid.uuid4().hex}"
+    path = f"{own_dir(s)}/cache-{uuid.uuid4().hex}"
     rows = read(s, d, "documents").where("text IS NOT NULL").select(F.sha2("text", 256).alias("key"), F.lower("text").alias("value"))
     files.append_cache(rows.where("key < '8'"), path, ["key"])
     files.append_cache(rows, path, ["key"])
@@ -85,7 +85,7 @@ def _pages(s, d):
 
 def stream_windows(s, d):
     """The events table as a stream, counted by day and kind."""
-    base = f"{shared_dir(s)}/souche/stream-{uuid.uuid4().hex}"
+    base = f"{own_dir(s)}/stream-{uuid.uuid4().hex}"
     df = read(s, d, "events")
     stream = s.readStream.schema(df.schema).option("pathGlobFilter", "events.parquet*").parquet(d).withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -98,7 +98,7 @@ def stream_windows(s, d):
 
 def stream_resume(s, d):
     """Documents appended once per text key; a second run over the same files adds nothing."""
-    base = f"{shared_dir(s)}/souche/resume-{uuid.uuid4().hex}"
+    base = f"{own_dir(s)}/resume-{uuid.uuid4().hex}"
     df = read(s, d, "events")
     for run in ("a", "b"):
         stream = s.readStream.schema(df.schema).option("pathGlobFilter", "events.parquet*").parquet(d).select("event_id", "user_id")

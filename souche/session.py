@@ -23,6 +23,7 @@ DEFAULTS = {
 #: application -> folder, only where the session names none
 _OWN: dict[str, str] = {}
 _SHIPPED: set[str] = set()
+_KEPT: set[str] = set()
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, **conf: str) -> SparkSession:
@@ -57,13 +58,32 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def own_dir(spark: SparkSession) -> str:
+    """This application's folder in the shared one, deleted when its driver ends."""
+    context = spark.sparkContext
+    folder = f"{shared_dir(spark)}/souche/{context.applicationId}"
+    if folder not in _KEPT:
+        _KEPT.add(folder)
+        atexit.register(_remove, context._jvm, context._jsc.hadoopConfiguration(), folder)
+    return folder
+
+
+def _remove(jvm, conf, folder: str) -> None:
+    try:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+    except Exception:  # the JVM may have gone first: then the folder stays for whoever keeps the shared one
+        pass
+
+
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
-    The result has no lineage behind it and survives the loss of any executor.
+    The result has no lineage behind it and survives the loss of any executor. The table lasts as long as the
+    application, unless ``drop_cut`` deletes it before: results may still read it.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/souche/{label}-{uuid.uuid4().hex}"
+    path = f"{own_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
