@@ -156,22 +156,22 @@ def advice(value: Column, low: float, high: float) -> Column:
     return F.when(value < low, "permissive").when(value > high, "strict").otherwise("balanced")
 
 
-def knn_probe(queries: DataFrame, corpus: DataFrame, k: int = 5, tile: int = 2048, ask: int = 512) -> DataFrame:
+def knn_probe(queries: DataFrame, corpus: DataFrame, k: int = 5, chunks: int | None = None, block: int = 512) -> DataFrame:
     """(q, c, sim, rank): exact k nearest rows of ``corpus`` (id, v) for a stated set of ``queries`` (id, v).
 
-    Both sides lie in blocks by hash, as many as their rows need, and every block of queries meets every block of
+    Both sides lie in blocks by hash, as many as their rows need (``block`` queries; 2 048 rows of the corpus, or ``chunks`` blocks), and every block of queries meets every block of
     the corpus as one matrix product; only the k best of each go on. Meant for a set of queries, not all rows.
     """
     import numpy as np
     import pyarrow as pa
 
-    def blocks(df: DataFrame, size: int, at: str, rows: str) -> tuple[DataFrame, int]:
+    def blocks(df: DataFrame, size: int, at: str, rows: str, count: int | None = None) -> tuple[DataFrame, int]:
         held = df.where("v IS NOT NULL").select("id", F.col("v").cast("array<double>").alias("v"))
-        count = max(1, -(-held.count() // size))
+        count = count or max(1, -(-held.count() // size))
         return held.groupBy(F.pmod(F.xxhash64("id"), F.lit(count)).cast("int").alias(at)).agg(F.collect_list(F.struct("id", "v")).alias(rows)), count
 
-    c, chunks = blocks(corpus, tile, "chunk", "cs")
-    q, asks = blocks(queries, ask, "ask", "qs")
+    c, chunks = blocks(corpus, 2048, "chunk", "cs", chunks)
+    q, asks = blocks(queries, block, "ask", "qs")
     parts = max(1, chunks * asks // 2)
     asked = q.select("ask", "qs", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk")).repartition(parts, "chunk", "ask")
     held = c.select("chunk", "cs", F.explode(F.sequence(F.lit(0), F.lit(asks - 1))).alias("ask")).repartition(parts, "chunk", "ask")
