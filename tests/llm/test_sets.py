@@ -87,6 +87,30 @@ def test_typical_terms(spark):
     assert distinctive.typical_terms(df.limit(0), "id", "origine").count() == 0
 
 
+def test_large_counts_are_told_apart():
+    """Counts over eight have bins and scores of their own, and those of a few records do not hide a smaller one."""
+    tfs, ns, totals = [[20, 100], [3, 9, 2999], [3, 25]], [[900, 20], [1, 1, 1], [1, 1]], [920, 1_000_000, 600]
+    (bulk, elite), *rare = distinctive._fit_batch(pd.Series(tfs), pd.Series(ns), pd.Series(totals))
+    assert bulk < 0.01 and elite > 0.99 and all(p > 0.99 for scores in rare for p in scores)
+
+
+def test_a_score_depends_on_its_histogram_alone():
+    tfs, ns, totals = [[1, 2], [1, 40], [2, 3, 5, 9, 70]], [[30, 4], [9, 2], [8, 1, 1, 1, 1]], [500, 500, 90]
+    alone = [distinctive._fit_batch(pd.Series([t]), pd.Series([n]), pd.Series([total]))[0] for t, n, total in zip(tfs, ns, totals)]
+    assert distinctive._fit_batch(pd.Series(tfs), pd.Series(ns), pd.Series(totals)) == alone
+
+
+def test_typical_terms_of_few_records_equal_brute_force(spark):
+    rng = random.Random(4)
+    rows = [("a", "deux " * 3), ("b", "deux " * 30)]
+    rows += [(f"r{i:02}", " ".join(w for w in ("un", "trois", "quatre") for _ in range(rng.choice([0, 1, 3, 4, 60])))) for i in range(10)]
+    counts = {i: Counter(o.split()) for i, o in rows}
+    held = Counter(w for c in counts.values() for w in c)
+    want = {(i, w) for i, c in counts.items() for w, n in c.items() if n >= 3 and 2 <= held[w] <= 12}
+    got = {tuple(r) for r in distinctive.typical_terms(spark.createDataFrame(rows, "id string, origine string"), "id", "origine").collect()}
+    assert got == want and {("a", "deux"), ("b", "deux")} < want
+
+
 def similar(rows, least):
     texts = defaultdict(set)
     for genre, i, t in rows:
