@@ -142,7 +142,7 @@ QUERIES = {
     "prefix_block_pairs": lambda s, d: matching.prefix_pairs(_surnames(s, d), "nom"),
     "jw_pairs": _scored,
     "jw_topk": lambda s, d: matching.jw_topk(_scored(s, d), 5),
-    "ner_gate": lambda s, d: matching.gate(_scored(s, d), _stub).select("a", "b"),
+    "ner_gate": lambda s, d: matching.jw_scored(matching.passing(_surnames(s, d), "nom", _stub), "nom").select("a", "b"),
     "explicit_links": lambda s, d: matching.explicit_links(_first_names(s, d), "prenom", "prenoms_lies"),
     "outside_links": lambda s, d: matching.outside_links(_first_names(s, d).select("prenom", "prenoms_lies"), "prenom", "prenoms_lies"),
     "unseen_pairs": unseen,
