@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from souche.operators import graph, matching, metrics, pipelines, serve, skew, summarize, tfidf
+from souche.operators import graph, matching, metrics, pipelines, serve, skew, spelling, summarize, tfidf
 from souche.session import cut, read
 
 
@@ -45,18 +45,12 @@ def tfidf_norms(s, d):
     return w.groupBy("doc").agg(F.count("*").alias("terms"), F.round(F.sum(F.col("weight") * F.col("weight")), 6).alias("norm"), F.round(F.max("weight"), 9).alias("top"))
 
 
-def _near_names(s, d):
-    """Pairs of close spellings with the text key of both."""
-    one = skew.first_rows(_surnames(s, d).where("trim(origine) <> ''").select("id", "nom", "origine"), ["nom"], ["id"]).select("nom", F.md5("origine").alias("doc"))
-    pairs = matching.jw_scored(_surnames(s, d), "nom", least=0.85)
-    left, right = (one.select(F.col("nom").alias(n), F.col("doc").alias(f"doc_{n}")) for n in ("a", "b"))
-    return pairs.join(left, "a").join(right, "b")
-
-
 def tfidf_cosine(s, d):
-    named = _near_names(s, d)
-    cos = tfidf.pair_cosine(named.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")), _weights(s, d))
-    return named.join(cos.select(F.col("a").alias("doc_a"), F.col("b").alias("doc_b"), "cosine"), ["doc_a", "doc_b"]).select("a", "b", F.round("cosine", 9).alias("cosine"))
+    """Pairs of close spellings with the cosine of their texts; a name's weighted text travels with it."""
+    one = skew.first_rows(_surnames(s, d).where("trim(origine) <> ''").select("id", "nom", "origine"), ["nom"], ["id"]).select("nom", F.md5("origine").alias("doc"))
+    docs = _origins(s, d)
+    rows = one.join(tfidf.vectors(tfidf.word_terms(docs, "doc", "t"), docs), "doc", "left")
+    return spelling.near(rows, "nom", 2, 0.85, vectors=True, names=one).select("a", "b", F.round("cosine", 9).alias("cosine"))
 
 
 def composite(s, d):

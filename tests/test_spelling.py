@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from souche.operators import matching, spelling
+from souche.operators import matching, spelling, tfidf
 
 
 def words(n, alphabet, sizes, seed):
@@ -41,3 +41,17 @@ def test_gate_before_pairing_compares_only_names_that_pass(spark):
     assert sorted(r.nom for r in named.collect()) == ["martinaud", "martineau", "martinot"]
     before = sorted((r.a, r.b) for r in matching.gate(matching.jw_scored(df, "nom"), asked).collect())
     assert sorted((r.a, r.b) for r in matching.jw_scored(named, "nom").collect()) == before != []
+
+
+def test_cosines_of_carried_texts_equal_those_of_joined_pairs(spark):
+    rng = random.Random(4)
+    texts = [(f"ma{x}", " ".join(rng.choice(["un", "deux", "trois", "quatre", "cinq", "six", "sept"]) for _ in range(rng.choice([1, 2, 6, 12])))) for x in words(40, "abc", [3, 4, 5], 8)] + [("maabd", "seul"), ("maabdd", "autre")]
+    docs = spark.createDataFrame(texts, "doc string, t string")
+    terms = tfidf.word_terms(docs, "doc", "t")
+    pairs = matching.jw_scored(docs, "doc", least=0.85)
+    want = {(r.a, r.b): r.cosine for r in tfidf.pair_cosine(pairs, tfidf.weights(terms, docs)).collect()}
+    for small in (0, 1000):
+        for most in (9, 1000):
+            rows = docs.select("doc").join(tfidf.vectors(terms, docs, small=small).withColumnRenamed("doc", "d"), F.col("d") == F.col("doc"), "left")
+            got = {(r.a, r.b): r.cosine for r in spelling.near(rows, "doc", 2, 0.85, vectors=True, most=most, names=docs).collect()}
+            assert got == pytest.approx(want) and len(want) > 50 and 0.0 in want.values()
