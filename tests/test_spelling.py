@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from souche.operators import matching, spelling, tfidf
+from souche.operators import graph, matching, spelling, tfidf
 
 
 def words(n, alphabet, sizes, seed):
@@ -55,3 +55,27 @@ def test_cosines_of_carried_texts_equal_those_of_joined_pairs(spark):
             rows = docs.select("doc").join(tfidf.vectors(terms, docs, small=small).withColumnRenamed("doc", "d"), F.col("d") == F.col("doc"), "left")
             got = {(r.a, r.b): r.cosine for r in spelling.near(rows, "doc", 2, 0.85, vectors=True, most=most, names=docs).collect()}
             assert got == pytest.approx(want) and len(want) > 50 and 0.0 in want.values()
+
+
+def test_best_of_each_name_do_not_depend_on_the_slices(spark):
+    names = ["ma" + x for x in words(90, "abcd", [2, 3, 5, 7], 9)] + ["ba" + x for x in words(12, "abc", [2, 3], 10)]
+    df = spark.createDataFrame([(n, n[2], [len(n), 99], [1.0, 2.0]) for n in names], "nom string, l string, terms array<bigint>, weights array<double>")
+    for k in (1, 4):
+        want = sorted(map(tuple, matching.jw_topk(matching.jw_scored(df, "nom"), k).collect()))
+        for most in (30, 1000):
+            got = spelling.near(df, "nom", 2, 0.75, k, vectors=True, labels=("l",), most=most).collect()
+            assert sorted((r.a, r.b, r.sim) for r in got) == want
+            assert all(r.same_l == (r.a[2] == r.b[2]) and r.cosine == pytest.approx(1.0 if len(r.a) == len(r.b) else 0.8) for r in got)
+    found = [(np.array([0, 0, 1]), np.array([1, 2, 2]), np.array([0.8, 0.8, 0.9])), (np.array([0]), np.array([3]), np.array([0.95]))]
+    for hold in (1, 100):
+        assert [x.tolist() for x in spelling._paired(*spelling._best_pairs(iter(found), 1, hold))] == [[0, 1], [3, 2], [0.95, 0.9]]
+
+
+def test_spanning_edges_keep_the_components(spark):
+    rng = random.Random(11)
+    edges = [(f"{rng.randrange(80)}", f"{rng.randrange(80)}") for _ in range(70)] + [("x", None)] + [(f"c{i}", f"c{j}") for i in range(20) for j in range(20)]
+    df = spark.createDataFrame(edges, "a string, b string").repartition(3)
+    want = sorted(map(tuple, graph.components(df).collect()))
+    for most in (3, 1000):
+        assert sorted(map(tuple, graph.components(graph.spanning(df, most)).collect())) == want
+    assert graph.spanning(df.coalesce(1)).where("a LIKE 'c%'").count() == 19
