@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from souche.operators import graph, matching, spelling, tfidf
+from souche.plans import pipelines as plans
 
 
 def words(n, alphabet, sizes, seed):
@@ -79,3 +80,14 @@ def test_spanning_edges_keep_the_components(spark):
     for most in (3, 1000):
         assert sorted(map(tuple, graph.components(graph.spanning(df, most)).collect())) == want
     assert graph.spanning(df.coalesce(1)).where("a LIKE 'c%'").count() == 19
+
+
+def test_stats_of_groups_come_from_thinned_edges(spark, tmp_path, monkeypatch):
+    names = [f"martin{x}{y}" for x in "abcdef" for y in "abcde"]
+    rows = [(n, n, "mot rare commun", "mot rare commun") for n in names] + [("seul", "seul", None, None)]
+    spark.createDataFrame(rows, "nom string, id string, origine string, origine_brute string").write.parquet(f"{tmp_path}/noms_clean.parquet")
+    seen, whole = [], graph.components
+    monkeypatch.setattr(graph, "components", lambda edges, *x: seen.append(edges.count()) or whole(edges, *x))
+    got = plans.regroup_stats(spark, str(tmp_path)).first()
+    assert (got.clusters, got.singletons, got.max_size) == (2, 1, 30)
+    assert seen[0] <= 2 * len(names)  # 29 of the star and those of a forest, not all 435 pairs
